@@ -22,7 +22,9 @@ from tablekin.plans.constraints import (
     is_declared_key,
     key_match,
     parent_keys,
+    quoted,
     referenced_columns,
+    text_literal,
 )
 
 KEY_ROWS = (
@@ -33,7 +35,7 @@ COLUMN_ROWS = "table_name string, position int, column_name string, data_type st
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.union, parts)
 
 
 # ---- declared -------------------------------------------------------------------
@@ -201,22 +203,30 @@ def table_sizes(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(table_name, row_count)``."""
     return _union(
         [
-            df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+            df.selectExpr(f"{text_literal(name)} AS table_name", "count(1) AS row_count")
             for name, df in tables.items()
         ]
     )
 
 
+def _column_facts(tables: Mapping[str, DataFrame], facts: Mapping[str, str]) -> DataFrame:
+    """``(table_name, column_name, fact..)``: aggregates of every column, one pass per table.
+
+    ``{c}`` in a fact stands for the column.
+    """
+    parts = []
+    for table, df in tables.items():
+        rows = []
+        for column in df.columns:
+            named = [f"'{n}', {f.format(c=quoted(column))}" for n, f in facts.items()]
+            rows.append(f"named_struct('column_name', {text_literal(column)}, {', '.join(named)})")
+        parts.append(df.selectExpr(f"{text_literal(table)} AS table_name", f"array({', '.join(rows)}) AS _facts"))
+    return _union(parts).selectExpr("table_name", "inline(_facts)")
+
+
 def null_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(table_name, column_name, null_count)``, one pass per table."""
-    return _union(
-        [
-            df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-            .unpivot([], df.columns, "column_name", "null_count")
-            .select(F.lit(name).alias("table_name"), "column_name", "null_count")
-            for name, df in tables.items()
-        ]
-    )
+    return _column_facts(tables, {"null_count": "count_if({c} IS NULL)"})
 
 
 def observed_columns(tables: Mapping[str, DataFrame], spec: Spec | None = None) -> DataFrame:
@@ -236,16 +246,20 @@ def key_facts(tables: Mapping[str, DataFrame], spec: Spec) -> DataFrame:
         if declared.get("primary_key"):
             counted = child_key_counts(tables[table], declared["primary_key"])
             parts.append(
-                counted.agg(
-                    F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"),
-                    F.count(F.lit(1)).alias("key_count"),
-                ).select(F.lit(table).alias("table_name"), "row_count", "key_count")
+                counted.selectExpr(
+                    f"{text_literal(table)} AS table_name",
+                    "coalesce(sum(row_count), 0) AS row_count",
+                    "count(1) AS key_count",
+                )
             )
     return _union(parts)
 
 
 NEAR_UNIQUE = 0.9
-SKETCH_ERROR = 0.01  # ten standard errors below 1 - NEAR_UNIQUE
+# A sketch of 2**14 slots errs by under 1 %, so NEAR_UNIQUE is ten standard errors away.
+DISTINCT_ESTIMATE = (
+    "coalesce(hll_sketch_estimate(hll_sketch_agg(CASE WHEN {c} IS NOT NULL THEN xxhash64({c}) END, 14)), 0)"
+)
 
 
 def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -255,39 +269,28 @@ def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     exactly, but only for the columns whose sketch is near the row count.
     """
     spark = next(iter(tables.values())).sparkSession
-    sketches = []
-    for name, df in tables.items():
-        facts = [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count(F.lit(1)).alias("row_count"),
-                F.count_if(F.col(c).isNull()).alias("null_count"),
-                F.approx_count_distinct(c, SKETCH_ERROR).alias("distinct_estimate"),
-            )
-            for c in df.columns
-        ]
-        sketches.append(
-            df.agg(F.array(*facts).alias("facts"))
-            .select(F.lit(name).alias("table_name"), F.explode("facts").alias("fact"))
-            .select("table_name", "fact.*")
-        )
-    observed = _union(sketches).collect()  # one row per column of the catalog
+    sketched = _column_facts(
+        tables,
+        {
+            "row_count": "count(1)",
+            "null_count": "count_if({c} IS NULL)",
+            "distinct_estimate": DISTINCT_ESTIMATE,
+        },
+    )
+    observed = sketched.collect()  # one row per column of the catalog
     near = [
         (r["table_name"], r["column_name"])
         for r in observed
         if r["distinct_estimate"] >= NEAR_UNIQUE * (r["row_count"] - r["null_count"])
     ]
-    schema = (
-        "table_name string, column_name string, row_count bigint, null_count bigint, distinct_estimate bigint"
-    )
-    profile = spark.createDataFrame([tuple(r) for r in observed], schema)
+    profile = spark.createDataFrame(observed, sketched.schema)
     if not near:
         return profile.withColumn("is_unique", F.lit(False))
     exact = _union(
         [
-            check_unique(tables[t], [c])
-            .agg((F.count(F.lit(1)) == 0).alias("_exact"))
-            .select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "_exact")
+            check_unique(tables[t], [c]).selectExpr(
+                f"{text_literal(t)} AS table_name", f"{text_literal(c)} AS column_name", "count(1) = 0 AS _exact"
+            )
             for t, c in near
         ]
     )
@@ -346,24 +349,23 @@ def observed_relationships(
         counted = (
             child_key_counts(tables[link.from_table], link.from_columns)
             .join(parents, key_match(len(link.from_columns)), "left")
-            .agg(
-                F.coalesce(F.sum("row_count"), F.lit(0)).alias("child_rows"),
-                F.count(F.lit(1)).alias("child_keys"),
-                F.count_if(F.col("_parent_0").isNull()).alias("orphan_keys"),
+            .selectExpr(
+                "coalesce(sum(row_count), 0) AS child_rows",
+                "count(1) AS child_keys",
+                "count_if(_parent_0 IS NULL) AS orphan_keys",
             )
         )
         text = f"{', '.join(link.from_columns)} -> {', '.join(link.to_columns)}"
-        one = F.col("child_rows") == F.col("child_keys")
         parts.append(
-            counted.select(
-                F.lit(link.from_table).alias("from_table"),
-                F.lit(link.to_table).alias("to_table"),
-                F.lit(text).alias("on"),
+            counted.selectExpr(
+                f"{text_literal(link.from_table)} AS from_table",
+                f"{text_literal(link.to_table)} AS to_table",
+                f"{text_literal(text)} AS on",
                 "child_rows",
                 "child_keys",
                 "orphan_keys",
-                (F.col("orphan_keys") == 0).alias("contained"),
-                F.when(one, "one-to-one").otherwise("one-to-many").alias("type"),
+                "orphan_keys = 0 AS contained",
+                "CASE WHEN child_rows = child_keys THEN 'one-to-one' ELSE 'one-to-many' END AS type",
             )
         )
     return _union(parts)

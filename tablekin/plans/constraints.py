@@ -31,8 +31,26 @@ Spec = Mapping[str, TableSpec]
 _WIDE_TYPES = (T.StringType, T.BinaryType, T.ArrayType, T.StructType)
 
 
-def _all_present(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+def quoted(name: str) -> str:
+    """A column name inside an SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(text: str) -> str:
+    """A text constant inside an SQL expression."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def all_present(columns: Sequence[str]) -> str:
+    return " AND ".join(f"{quoted(c)} IS NOT NULL" for c in columns)
+
+
+def any_missing(columns: Sequence[str]) -> str:
+    return " OR ".join(f"{quoted(c)} IS NULL" for c in columns)
+
+
+def _count_rows() -> Column:
+    return F.expr("count(1) AS row_count")
 
 
 def repeated_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -44,17 +62,10 @@ def repeated_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     keys = df.select(*columns)
     if any(isinstance(f.dataType, _WIDE_TYPES) for f in keys.schema.fields):
-        digest = F.xxhash64(*columns)
-        suspects = (
-            keys.groupBy(digest.alias("_digest"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > 1)
-            .select("_digest")
-        )
-        keys = keys.withColumn("_digest", digest).join(suspects, "_digest", "left_semi")
-    return (
-        keys.groupBy(*columns).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)
-    )
+        keys = keys.withColumn("_digest", F.xxhash64(*columns))
+        suspects = keys.groupBy("_digest").agg(_count_rows()).where("row_count > 1")
+        keys = keys.join(suspects.select("_digest"), "_digest", "left_semi")
+    return keys.groupBy(*columns).agg(_count_rows()).where("row_count > 1")
 
 
 def check_not_null(df: DataFrame, column: str) -> DataFrame:
@@ -64,17 +75,12 @@ def check_not_null(df: DataFrame, column: str) -> DataFrame:
 
 def check_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Repeated keys; a key with a NULL member may repeat."""
-    return repeated_keys(df.select(*columns).where(_all_present(columns)), columns)
+    return repeated_keys(df.where(all_present(columns)), columns)
 
 
 def check_primary_key(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Keys that repeat or have a NULL member, with ``row_count``."""
-    incomplete = (
-        df.select(*columns)
-        .where(~_all_present(columns))
-        .groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
+    incomplete = df.where(any_missing(columns)).groupBy(*columns).agg(_count_rows())
     return check_unique(df, columns).unionByName(incomplete)
 
 
@@ -85,24 +91,18 @@ def check_expr(df: DataFrame, expression: str) -> DataFrame:
 
 def child_key_counts(child: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct complete child keys as ``_child_0..`` with their ``row_count``."""
-    named = [F.col(c).alias(f"_child_{i}") for i, c in enumerate(columns)]
-    return (
-        child.where(_all_present(columns))
-        .groupBy(*named)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
+    named = [f"{quoted(c)} AS _child_{i}" for i, c in enumerate(columns)]
+    keys = child.where(all_present(columns)).selectExpr(*named)
+    return keys.groupBy(*keys.columns).agg(_count_rows())
 
 
 def parent_keys(parent: DataFrame, columns: Sequence[str], unique: bool) -> DataFrame:
-    keys = parent.select(*[F.col(c).alias(f"_parent_{i}") for i, c in enumerate(columns)])
+    keys = parent.selectExpr(*[f"{quoted(c)} AS _parent_{i}" for i, c in enumerate(columns)])
     return keys if unique else keys.distinct()
 
 
 def key_match(count: int) -> Column:
-    return reduce(
-        lambda a, b: a & b,
-        [F.col(f"_child_{i}") == F.col(f"_parent_{i}") for i in range(count)],
-    )
+    return F.expr(" AND ".join(f"_child_{i} = _parent_{i}" for i in range(count)))
 
 
 def check_foreign_key(
@@ -120,9 +120,7 @@ def check_foreign_key(
     orphans = child_key_counts(child, columns).join(
         parent_keys(parent, parent_columns, parent_unique), key_match(len(columns)), "left_anti"
     )
-    return orphans.select(
-        *[F.col(f"_child_{i}").alias(c) for i, c in enumerate(columns)], "row_count"
-    )
+    return orphans.selectExpr(*[f"_child_{i} AS {quoted(c)}" for i, c in enumerate(columns)], "row_count")
 
 
 def apply_defaults(df: DataFrame, defaults: Mapping[str, Any]) -> DataFrame:
@@ -144,54 +142,44 @@ def is_declared_key(spec: Spec, table: str, columns: Sequence[str]) -> bool:
     return any(set(key) == set(columns) for key in keys)
 
 
-def _report_row(violations: DataFrame, table: str, constraint: str) -> DataFrame:
-    return violations.select(
-        F.lit(table).alias("table_name"), F.lit(constraint).alias("constraint_name"), "violations"
-    )
+def _report_row(table: str, constraint: str, violations: str) -> str:
+    """One report line as an SQL struct."""
+    names = f"'table_name', {text_literal(table)}, 'constraint_name', {text_literal(constraint)}"
+    return f"named_struct({names}, 'violations', {violations})"
 
 
-def _row_checks(df: DataFrame, table: str, declared: TableSpec) -> DataFrame | None:
-    """NOT NULL and CHECK of one table: one pass, whatever their number."""
-    conditions = {f"not_null({c})": F.col(c).isNull() for c in declared.get("not_null", [])}
-    conditions |= {f"check({n})": ~F.expr(e) for n, e in declared.get("checks", {}).items()}
-    if not conditions:
-        return None
-    counted = df.agg(*[F.count_if(c).alias(f"_{i}") for i, c in enumerate(conditions.values())])
-    rows = [
-        F.struct(F.lit(name).alias("name"), F.col(f"_{i}").alias("violations"))
-        for i, name in enumerate(conditions)
-    ]
-    lines = counted.select(F.explode(F.array(*rows)).alias("row"))
-    return lines.select(
-        F.lit(table).alias("table_name"),
-        F.col("row.name").alias("constraint_name"),
-        F.col("row.violations").alias("violations"),
-    )
+def _report_rows(df: DataFrame, rows: Sequence[str]) -> DataFrame:
+    return df.selectExpr(f"array({', '.join(rows)}) AS _rows")
+
+
+def _row_checks(table: str, declared: TableSpec) -> list[str]:
+    """NOT NULL and CHECK counts of one table, to be taken in one pass."""
+    conditions = {f"not_null({c})": f"{quoted(c)} IS NULL" for c in declared.get("not_null", [])}
+    conditions |= {f"check({n})": f"NOT ({e})" for n, e in declared.get("checks", {}).items()}
+    return [_report_row(table, name, f"count_if({c})") for name, c in conditions.items()]
 
 
 def _table_report(
     tables: Mapping[str, DataFrame], table: str, spec: Spec
 ) -> Iterator[DataFrame]:
     df, declared = tables[table], spec[table]
-    row_checks = _row_checks(df, table, declared)
-    if row_checks is not None:
-        yield row_checks
-    count_keys = F.count(F.lit(1)).alias("violations")
+    row_checks = _row_checks(table, declared)
+    if row_checks:
+        yield _report_rows(df, row_checks)
     if declared.get("primary_key"):
         columns = declared["primary_key"]
-        broken = check_primary_key(df, columns).agg(count_keys)
-        yield _report_row(broken, table, f"primary_key({', '.join(columns)})")
+        name = f"primary_key({', '.join(columns)})"
+        yield _report_rows(check_primary_key(df, columns), [_report_row(table, name, "count(1)")])
     for columns in declared.get("unique", []):
-        broken = check_unique(df, columns).agg(count_keys)
-        yield _report_row(broken, table, f"unique({', '.join(columns)})")
+        name = f"unique({', '.join(columns)})"
+        yield _report_rows(check_unique(df, columns), [_report_row(table, name, "count(1)")])
     for foreign_key in declared.get("foreign_keys", []):
         columns, parent = foreign_key["from_columns"], foreign_key["to_table"]
         targets = referenced_columns(spec, foreign_key)
-        orphans = check_foreign_key(
-            df, columns, tables[parent], targets, is_declared_key(spec, parent, targets)
-        ).agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations"))
-        text = f"{', '.join(columns)} -> {parent}.{', '.join(targets)}"
-        yield _report_row(orphans, table, f"foreign_key({text})")
+        parent_unique = is_declared_key(spec, parent, targets)
+        orphans = check_foreign_key(df, columns, tables[parent], targets, parent_unique)
+        name = f"foreign_key({', '.join(columns)} -> {parent}.{', '.join(targets)})"
+        yield _report_rows(orphans, [_report_row(table, name, "coalesce(sum(row_count), 0)")])
 
 
 def constraint_report(tables: Mapping[str, DataFrame], spec: Spec) -> DataFrame:
@@ -203,4 +191,4 @@ def constraint_report(tables: Mapping[str, DataFrame], spec: Spec) -> DataFrame:
     parts = [part for table in spec for part in _table_report(tables, table, spec)]
     if not parts:
         raise ValueError("the specification declares no constraint")
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.union, parts).selectExpr("inline(_rows)")

@@ -244,7 +244,7 @@ def insert_or_ignore(spark, sf):
         .where("o_orderstatus = 'F'")
         .select(
             F.col("o_orderkey").alias("order_key"),
-            F.lit(1).alias("line"),
+            F.expr("int(1 + o_custkey % 7)").alias("line"),
             F.lit(None).cast("bigint").alias("part_key"),
             F.lit(None).cast("bigint").alias("supplier_key"),
         )

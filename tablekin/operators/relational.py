@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tablekin.functions.draw import shuffle_key
 
+# A sample of this many keys is a few MB, so it may be sent to every executor.
+BROADCAST_KEYS = 100_000
+
 
 def joined_text(*columns: str, separator: str = " ") -> Column:
     """``a || ' ' || b``: NULL if any part is NULL (``concat_ws`` would skip it)."""
@@ -97,9 +100,11 @@ def parent_child_report(
     """``k`` random parents with their dimension columns and child counts.
 
     The sample depends on parents only, so it is drawn first; the child table is
-    then read once against ``k`` keys instead of being grouped as a whole.
+    then read once against the few sampled keys instead of being grouped as a whole.
+    A sample too large to broadcast is joined with the counts of all children.
     """
     sample = random_top_k(join_dimensions(parent, *dimensions), key, k, seed)
-    wanted = sample.select(F.col(key).alias("_wanted"))
-    relevant = child.join(wanted, F.col(child_key) == F.col("_wanted"), "inner").drop("_wanted")
-    return count_per_parent(sample, key, relevant, child_key, counted, count_name)
+    if k <= BROADCAST_KEYS:
+        wanted = F.broadcast(sample.select(F.col(key).alias("_wanted")))
+        child = child.join(wanted, F.col(child_key) == F.col("_wanted"), "left_semi")
+    return count_per_parent(sample, key, child, child_key, counted, count_name)

@@ -35,16 +35,23 @@ class KeyPool:
     first: int | None = None
     numbered: DataFrame | None = None  # _pool_index, _pool_key
 
-    def look_up(self, df: DataFrame, index: Column, name: str) -> DataFrame:
-        """Add the key at ``index``; NULL where ``index`` is NULL or the pool is empty."""
+    def look_up(
+        self, df: DataFrame, index: Column, name: str, keep: Column | None = None
+    ) -> DataFrame:
+        """Add the key at ``index``; NULL where ``keep`` is false or the pool is empty.
+
+        Rows that are to get NULL join on a negative number of their own draw: they find
+        nothing, and unlike a NULL join key they do not all meet in one task.
+        """
         if self.size == 0:
             return df.withColumn(name, F.lit(None).cast(self.key_type))
         if self.numbered is None:
             key = (F.lit(self.first).cast("bigint") + index).cast(self.key_type)
-            return df.withColumn(name, key)
+            return df.withColumn(name, key if keep is None else F.when(keep, key))
         kept = [F.col(c) for c in df.columns if c != name]
+        wanted = index if keep is None else F.when(keep, index).otherwise(F.lit(-1) - index)
         return (
-            df.withColumn("_wanted_index", index)
+            df.withColumn("_wanted_index", wanted)
             .join(self.numbered, F.col("_wanted_index") == F.col("_pool_index"), "left")
             .select(*kept, F.col("_pool_key").alias(name))
         )
@@ -84,13 +91,17 @@ def key_pool(parent: DataFrame, key: str) -> KeyPool:
 
 
 def sample_foreign_key(
-    df: DataFrame, row_key: str, pool: KeyPool, name: str, seed: str | int, null_share: float = 0.0
+    df: DataFrame,
+    row_key: Column | str,
+    pool: KeyPool,
+    name: str,
+    seed: str | int,
+    null_share: float = 0.0,
 ) -> DataFrame:
     """Add a parent key drawn uniformly per row; an empty pool gives NULL."""
-    index = draw_below(pool.size, seed, row_key) if pool.size else F.lit(None).cast("bigint")
-    if null_share:
-        index = F.when(~in_share(null_share, f"{seed}|null", row_key), index)
-    return pool.look_up(df, index, name)
+    index = draw_below(max(pool.size, 1), seed, row_key)
+    keep = ~in_share(null_share, f"{seed}|null", row_key) if null_share else None
+    return pool.look_up(df, index, name, keep)
 
 
 def inject_nulls(df: DataFrame, row_key: str, column: str, share: float, seed: str | int) -> DataFrame:
@@ -170,10 +181,11 @@ def self_reference_earlier(
     ``pool`` holds the table's own keys in order, so references never form a cycle.
     """
     placed = pool.position_of(df, key, "_place")
-    index = F.when(F.col("_place") > 0, draw_below(F.col("_place"), seed, key))
+    index = draw_below(F.greatest(F.col("_place"), F.lit(1)), seed, key)
+    keep = F.col("_place") > 0
     if null_share:
-        index = F.when(~in_share(null_share, f"{seed}|null", key), index)
-    return pool.look_up(placed, index, name).drop("_place")
+        keep = keep & ~in_share(null_share, f"{seed}|null", key)
+    return pool.look_up(placed, index, name, keep).drop("_place")
 
 
 def reference_other(

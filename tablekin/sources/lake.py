@@ -16,6 +16,13 @@ def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[
     return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in names}
 
 
+def catalog_tables(spark: SparkSession, database: str | None = None) -> dict[str, DataFrame]:
+    """The base tables of a catalog database; views and temporary views are left out."""
+    listed = spark.catalog.listTables(database)
+    base = [t for t in listed if not t.isTemporary and t.tableType in ("MANAGED", "EXTERNAL")]
+    return {t.name: spark.table(".".join([*(t.namespace or []), t.name])) for t in base}
+
+
 def run_sql(spark: SparkSession, tables: Mapping[str, DataFrame], sql: str) -> DataFrame:
     """Any ``SELECT`` over the given tables, each visible under its name."""
     for name, df in tables.items():

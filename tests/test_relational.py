@@ -42,14 +42,17 @@ def test_counts_ignore_nulls_and_keep_childless_parents(spark):
     assert rows(got) == [(1, 1), (2, 0), (3, 0)]
 
 
-def test_report_equals_counting_everything_first(spark):
+def test_report_equals_counting_everything_first(spark, monkeypatch):
     parent = spark.range(200).selectExpr("id", "id % 7 AS dim_id", "concat('p', id) AS name")
     dim = spark.range(5).selectExpr("id AS key", "concat('d', id) AS dim")
     child = spark.range(3000).selectExpr("IF(id % 3 = 0, 1, id % 150) AS parent_id", "IF(id % 4 = 0, NULL, id) AS v")
     args = (parent, "id", [(dim, "dim_id", "key")], child, "parent_id", "v", "n", 20, "seed")
     joined = relational.join_dimensions(parent, (dim, "dim_id", "key"))
     counted = relational.count_per_parent(joined, "id", child, "parent_id", "v", "n")
-    assert rows(relational.parent_child_report(*args)) == rows(relational.random_top_k(counted, "id", 20, "seed"))
+    expected = rows(relational.random_top_k(counted, "id", 20, "seed"))
+    assert rows(relational.parent_child_report(*args)) == expected
+    monkeypatch.setattr(relational, "BROADCAST_KEYS", 3)
+    assert rows(relational.parent_child_report(*args)) == expected
 
 
 def test_top_k_does_not_depend_on_the_layout(spark):

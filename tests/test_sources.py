@@ -182,3 +182,14 @@ class ClusterSession:
 def test_a_cluster_without_a_shared_folder_is_an_error():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(ClusterSession())
+
+
+def test_catalog_tables_leave_out_views(spark):
+    spark.range(3).write.mode("overwrite").saveAsTable("base_table")
+    spark.sql("CREATE OR REPLACE VIEW a_view AS SELECT * FROM base_table")
+    spark.range(2).createOrReplaceTempView("a_temporary_view")
+    try:
+        assert {n: df.count() for n, df in lake.catalog_tables(spark).items()} == {"base_table": 3}
+    finally:
+        spark.sql("DROP VIEW a_view")
+        spark.sql("DROP TABLE base_table")

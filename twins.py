@@ -191,13 +191,13 @@ FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o
 FROM customer LEFT JOIN (SELECT o_custkey, max(o_totalprice) AS highest FROM orders
   WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey) ON o_custkey = c_custkey""",
         "shuffle_rank": f"SELECT o_orderkey, row_number() OVER (ORDER BY {shuffled('mix', 'o_orderkey')}) AS rank FROM orders",
-        "insert_or_ignore": """SELECT o_orderkey AS order_key, 1 AS line, cast(NULL as bigint) AS part_key,
+        "insert_or_ignore": """SELECT o_orderkey AS order_key, cast(1 + o_custkey % 7 as integer) AS line, cast(NULL as bigint) AS part_key,
   cast(NULL as bigint) AS supplier_key FROM orders WHERE o_orderstatus = 'F'
 UNION ALL
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn
-  FROM lineitem) WHERE rn = 1 AND NOT (l_linenumber = 1 AND l_orderkey IN
-  (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'))""",
+  FROM lineitem) WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM orders
+  WHERE o_orderstatus = 'F' AND o_orderkey = l_orderkey AND 1 + o_custkey % 7 = l_linenumber)""",
         "catalog_tables": union([f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in tables]),
         "catalog_columns": union(
             [

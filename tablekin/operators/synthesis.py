@@ -137,14 +137,18 @@ def distinct_draws(size: int, k: Column, seed: str | int, key: Column | str) ->
     Floyd's sampling (Bentley and Floyd, 1987): one pass over the last ``k`` numbers,
     each step adds a draw below it or, if that is taken, the number itself.
     """
-    steps = F.sequence(F.lit(size).cast("bigint") - k, F.lit(size - 1).cast("bigint"))
+    steps = F.transform(
+        F.sequence(F.lit(size).cast("bigint") - k, F.lit(size - 1).cast("bigint")),
+        lambda last: F.struct(
+            last.alias("last"), draw_below(last + F.lit(1), seed, key, last).alias("drawn")
+        ),
+    )
 
-    def step(chosen: Column, last: Column) -> Column:
-        candidate = draw_below(last + F.lit(1), seed, key, last)
-        taken = F.array_contains(chosen, candidate)
-        return F.array_append(chosen, F.when(taken, last).otherwise(candidate))
+    def choose(chosen: Column, step: Column) -> Column:
+        taken = F.array_contains(chosen, step["drawn"])
+        return F.array_append(chosen, F.when(taken, step["last"]).otherwise(step["drawn"]))
 
-    return F.aggregate(steps, F.array().cast("array<bigint>"), step)
+    return F.aggregate(steps, F.array().cast("array<bigint>"), choose)
 
 
 def sample_distinct_links(

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tablekin.functions.draw import draw_between
 from tablekin.functions.rules import RuleContext, rule_column
-from tablekin.operators import changes, ordering, relational, synthesis
+from tablekin.operators import changes, ordering, relational, skew, synthesis
 from tablekin.plans import catalog, constraints
 from tablekin.plans.declarations import constraint_spec
 from tablekin.plans.filling import fill_tables
@@ -184,7 +184,7 @@ def _large_orders(spark, sf):
 def join_left(spark, sf):
     customers = _table(spark, sf, "customer").select("c_custkey", "c_name")
     large = _large_orders(spark, sf).select("o_orderkey", "o_custkey", "o_totalprice")
-    return relational.left_join_children(customers, "c_custkey", large, "o_custkey")
+    return skew.join_children(customers, "c_custkey", large, "o_custkey")
 
 
 def count_per_parent(spark, sf):

@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablekin.functions.draw import shuffle_key
-
-# A sample of this many keys is a few MB, so it may be sent to every executor.
-BROADCAST_KEYS = 100_000
+from tablekin.operators.skew import BROADCAST_ROWS
 
 
 def joined_text(*columns: str, separator: str = " ") -> Column:
@@ -41,21 +39,6 @@ def join_dimensions(
     return fact
 
 
-def left_join_children(
-    parent: DataFrame, key: str, child: DataFrame, child_key: str
-) -> DataFrame:
-    """Every parent row with each of its child rows, or once with NULLs.
-
-    A plain left join cannot split a hot key of its right side over several tasks,
-    an inner join can.  So matches come from an inner join, and the parents without
-    a match from an anti join with the distinct child keys.
-    """
-    matched = parent.join(child, F.col(key) == F.col(child_key), "inner")
-    child_keys = child.select(child_key).where(F.col(child_key).isNotNull()).distinct()
-    unmatched = parent.join(child_keys, F.col(key) == F.col(child_key), "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
-
-
 def count_per_parent(
     parent: DataFrame, key: str, child: DataFrame, child_key: str, counted: str, name: str
 ) -> DataFrame:
@@ -104,7 +87,7 @@ def parent_child_report(
     A sample too large to broadcast is joined with the counts of all children.
     """
     sample = random_top_k(join_dimensions(parent, *dimensions), key, k, seed)
-    if k <= BROADCAST_KEYS:
+    if k <= BROADCAST_ROWS:
         wanted = F.broadcast(sample.select(F.col(key).alias("_wanted")))
         child = child.join(wanted, F.col(child_key) == F.col("_wanted"), "left_semi")
     return count_per_parent(sample, key, child, child_key, counted, count_name)

@@ -76,16 +76,21 @@ def read_sql(
     spark: SparkSession,
     options: Mapping[str, str],
     sql: str,
-    partition: Partitioning | None = None,
+    partition: Partitioning | Sequence[str] | None = None,
     fetch_size: int = 10_000,
 ) -> DataFrame:
     """The result of a ``SELECT`` that runs inside the source.
 
-    Without ``partition`` one task reads everything; give one for large results.
-    Later filters and column choices are pushed into the source by Spark.
+    Without ``partition`` one task reads everything; give one for large results.  A
+    list of SQL conditions, which must be disjoint and cover all rows, makes one task
+    each: the way to split by an uneven or textual column.  Later filters and column
+    choices are pushed into the source by Spark.
     """
     table = derived_table(sql)
     scan = {**options, "dbtable": table, "fetchsize": str(fetch_size)}
+    if partition is not None and not isinstance(partition, Partitioning):
+        properties = {name: value for name, value in scan.items() if name not in ("url", "dbtable")}
+        return spark.read.jdbc(options["url"], table, predicates=list(partition), properties=properties)
     if partition is None:
         return _load(spark, scan)
     lower, upper = partition.lower, partition.upper
@@ -202,7 +207,10 @@ class JdbcSource:
         self.options = jdbc_options(db_type, **params)
 
     def query(
-        self, sql: str, partition: Partitioning | None = None, fetch_size: int = 10_000
+        self,
+        sql: str,
+        partition: Partitioning | Sequence[str] | None = None,
+        fetch_size: int = 10_000,
     ) -> DataFrame:
         return read_sql(self.spark, self.options, sql, partition, fetch_size)
 
@@ -221,7 +229,9 @@ class JdbcSource:
         return description_document(self.columns(), self.keys(), self.db_type)
 
     def read_tables(
-        self, names: Sequence[str], partitions: Mapping[str, Partitioning] | None = None
+        self,
+        names: Sequence[str],
+        partitions: Mapping[str, Partitioning | Sequence[str]] | None = None,
     ) -> dict[str, DataFrame]:
         """Whole tables, each split as ``partitions`` says."""
         partitions = partitions or {}

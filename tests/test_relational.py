@@ -1,8 +1,9 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from tablekin.operators import changes, ordering, relational
+from tablekin.operators import changes, ordering, relational, skew
 
 
 def rows(df):
@@ -26,15 +27,37 @@ def test_inner_join_drops_null_keys(spark):
     assert rows(relational.join_dimensions(fact, (dim, "dim_id", "key"))) == [(1, 1, 1, "a")]
 
 
-def test_left_join_children(spark):
-    parent = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id bigint, name string")
-    child = spark.createDataFrame([(1, 10), (1, 11), (None, 12), (7, 13)], "parent_id bigint, v int")
-    got = relational.left_join_children(parent, "id", child, "parent_id")
+def test_hot_keys(spark):
+    df = spark.range(30000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 5 > 0 THEN id END AS k")
+    assert skew.hot_keys(df, "k") == [7]
+    assert skew.hot_keys(df.selectExpr("concat('a', k) AS k"), "k") == ["a7"]
+    assert skew.hot_keys(df.where("k < 0"), "k") == []
+    assert skew.hot_keys(df.selectExpr("array(k) AS k"), "k") == []
+    many = spark.range(10000).selectExpr("id % 20 AS k")
+    assert sorted(skew.hot_keys(many, "k")) == list(range(20))
+
+
+@pytest.mark.parametrize("limit", [100_000, 0])
+@pytest.mark.parametrize("hot_parent", [True, False])
+def test_join_children_equals_a_left_join(spark, monkeypatch, limit, hot_parent):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
+    parent = spark.range(3000).selectExpr("IF(id % 50 = 1, NULL, id) AS id", "concat('p', id) AS name")
+    if not hot_parent:
+        parent = parent.where("id <> 7")
+    child = spark.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 5 > 0 THEN id END AS parent_id", "id AS v")
+    got = skew.join_children(parent, "id", child, "parent_id")
     plain = parent.join(child, F.col("id") == F.col("parent_id"), "left")
     assert got.columns == plain.columns
     assert rows(got) == rows(plain)
 
 
+def test_join_children_without_hot_keys(spark):
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id bigint, name string")
+    child = spark.createDataFrame([(None, 12)], "parent_id bigint, v int")
+    got = skew.join_children(parent, "id", child, "parent_id")
+    assert rows(got) == [(1, "a", None, None), (2, "b", None, None), (None, "c", None, None)]
+
+
 def test_counts_ignore_nulls_and_keep_childless_parents(spark):
     parent = spark.createDataFrame([(1,), (2,), (3,)], "id bigint")
     child = spark.createDataFrame([(1, 5), (1, None), (2, None), (None, 5)], "parent_id bigint, v int")
@@ -51,7 +74,7 @@ def test_report_equals_counting_everything_first(spark, monkeypatch):
     counted = relational.count_per_parent(joined, "id", child, "parent_id", "v", "n")
     expected = rows(relational.random_top_k(counted, "id", 20, "seed"))
     assert rows(relational.parent_child_report(*args)) == expected
-    monkeypatch.setattr(relational, "BROADCAST_KEYS", 3)
+    monkeypatch.setattr(relational, "BROADCAST_ROWS", 3)
     assert rows(relational.parent_child_report(*args)) == expected
 
 

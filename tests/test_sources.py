@@ -71,6 +71,10 @@ class FakeReader:
     def load(self):
         return self
 
+    def jdbc(self, url, table, predicates, properties):
+        self.loads.append((url, table, predicates, properties))
+        return self
+
     def first(self):
         return self.bounds
 
@@ -108,6 +112,14 @@ def test_partitioned_read_with_bounds_or_without_rows():
     assert len(spark.loads) == 2 and "partitionColumn" not in spark.loads[1]
 
 
+def test_read_by_conditions():
+    spark = FakeReader(None)
+    jdbc.read_sql(spark, {"url": "u", "driver": "d"}, "SELECT * FROM t;", ["a < 'm'", "a >= 'm' OR a IS NULL"])
+    assert spark.loads == [
+        ("u", "(SELECT * FROM t) t", ["a < 'm'", "a >= 'm' OR a IS NULL"], {"driver": "d", "fetchsize": "10000"})
+    ]
+
+
 def test_a_missing_driver_fails_on_load(spark):
     with pytest.raises((PySparkException, Exception), match="sqlite"):
         jdbc.JdbcSource(spark, "sqlite", db_path="x.db").query("SELECT 1")

@@ -271,7 +271,7 @@ def catalog_columns(spark, sf):
 
 def primary_keys(spark, sf):
     declared = catalog.primary_keys(catalog.key_rows(spark, SPEC))
-    facts = catalog.key_facts(_all(spark, sf), SPEC)
+    facts = catalog.key_facts(read_tables(spark, sf, SPEC), SPEC)
     return declared.join(facts, "table_name").select(
         "table_name", F.array_join("columns", ", ").alias("key_columns"), "row_count", "key_count"
     )
@@ -291,7 +291,7 @@ def _declared_links():
 
 
 def _link_facts(spark, sf):
-    return catalog.observed_relationships(_all(spark, sf), _declared_links(), SPEC)
+    return catalog.observed_relationships(read_tables(spark, sf, SPEC), _declared_links(), SPEC)
 
 
 def foreign_keys(spark, sf):
@@ -360,7 +360,7 @@ def apply_default(spark, sf):
 
 
 def constraint_report(spark, sf):
-    return constraints.constraint_report(_all(spark, sf), SPEC)
+    return constraints.constraint_report(read_tables(spark, sf, SPEC), SPEC)
 
 
 # ---- synthesis --------------------------------------------------------------------

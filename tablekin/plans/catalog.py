@@ -26,6 +26,7 @@ from tablekin.plans.constraints import (
     referenced_columns,
     text_literal,
 )
+from tablekin.sources.local import local_rows
 
 KEY_ROWS = (
     "table_name string, constraint_name string, kind string, seq int, "
@@ -51,7 +52,7 @@ def key_rows(spark: SparkSession, spec: Spec) -> DataFrame:
             pairs = zip(fk["from_columns"], referenced_columns(spec, fk), strict=True)
             for seq, (column, target) in enumerate(pairs, 1):
                 rows.append((table, f"fk_{number:04d}", "foreign_key", seq, column, fk["to_table"], target))
-    return spark.createDataFrame(rows, KEY_ROWS)
+    return local_rows(spark, rows, KEY_ROWS)
 
 
 def column_rows(spark: SparkSession, tables: Mapping[str, DataFrame], spec: Spec | None = None) -> DataFrame:
@@ -68,7 +69,7 @@ def column_rows(spark: SparkSession, tables: Mapping[str, DataFrame], spec: Spec
         for table, df in tables.items()
         for position, field in enumerate(df.schema.fields, 1)
     ]
-    return spark.createDataFrame(rows, COLUMN_ROWS)
+    return local_rows(spark, rows, COLUMN_ROWS)
 
 
 def _in_key_order(*fields: str) -> Column:
@@ -283,7 +284,7 @@ def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
         for r in observed
         if r["distinct_estimate"] >= NEAR_UNIQUE * (r["row_count"] - r["null_count"])
     ]
-    profile = spark.createDataFrame(observed, sketched.schema)
+    profile = local_rows(spark, observed, sketched.schema)
     if not near:
         return profile.withColumn("is_unique", F.lit(False))
     exact = _union(

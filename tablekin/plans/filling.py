@@ -32,6 +32,7 @@ from tablekin.operators.synthesis import (
 )
 from tablekin.plans.declarations import TableDeclaration, read_tables
 from tablekin.sources.lake import existing_table, inline_rows, write_table
+from tablekin.sources.local import local_rows
 from tablekin.staging import stage_table
 
 Rule = Mapping[str, Any]
@@ -202,7 +203,7 @@ def _first_pass(run: _Run, table: TableDeclaration) -> None:
     mode = next((m for m in _MODES if m in table.populate), None)
     run.first_ids[table.name] = run.first_id(table)
     if mode is None:
-        rows = run.spark.createDataFrame([], table.schema)
+        rows = local_rows(run.spark, [], table.schema)
     else:
         rows = _declared_columns(table, _MODES[mode](run, table))
     if "post_populate" in table.populate:

@@ -10,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tablekin.sources.local import local_rows
+
 
 def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
     """``<folder>/<name>.parquet`` for every name."""
@@ -70,7 +72,7 @@ def inline_rows(
         return value if value is None or convert is None else convert(value)
 
     rows = [tuple(cell(r, i, f) for f in schema.fields) for i, r in enumerate(records)]
-    return spark.createDataFrame(rows, schema)
+    return local_rows(spark, rows, schema)
 
 
 def existing_table(spark: SparkSession, path: str) -> DataFrame | None:

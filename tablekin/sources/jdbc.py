@@ -78,16 +78,20 @@ def read_sql(
     sql: str,
     partition: Partitioning | Sequence[str] | None = None,
     fetch_size: int = 10_000,
+    column_types: str | None = None,
 ) -> DataFrame:
     """The result of a ``SELECT`` that runs inside the source.
 
     Without ``partition`` one task reads everything; give one for large results.  A
     list of SQL conditions, which must be disjoint and cover all rows, makes one task
     each: the way to split by an uneven or textual column.  Later filters and column
-    choices are pushed into the source by Spark.
+    choices are pushed into the source by Spark.  ``column_types`` (a DDL list) is for
+    sources such as SQLite that do not tell the type of computed columns.
     """
     table = derived_table(sql)
     scan = {**options, "dbtable": table, "fetchsize": str(fetch_size)}
+    if column_types:
+        scan["customSchema"] = column_types
     if partition is not None and not isinstance(partition, Partitioning):
         properties = {name: value for name, value in scan.items() if name not in ("url", "dbtable")}
         return spark.read.jdbc(options["url"], table, predicates=list(partition), properties=properties)
@@ -211,15 +215,21 @@ class JdbcSource:
         sql: str,
         partition: Partitioning | Sequence[str] | None = None,
         fetch_size: int = 10_000,
+        column_types: str | None = None,
     ) -> DataFrame:
-        return read_sql(self.spark, self.options, sql, partition, fetch_size)
+        return read_sql(self.spark, self.options, sql, partition, fetch_size, column_types)
+
+    def _catalog(self, sql: str, ddl: str) -> DataFrame:
+        raw = self.query(_labelled(sql, ddl), column_types=ddl.replace("boolean", "int"))
+        return _as_rows(raw, ddl)
 
     def columns(self) -> DataFrame:
-        sql = _labelled(COLUMN_QUERIES[self.db_type], COLUMN_ROWS)
-        return _as_rows(self.query(sql), COLUMN_ROWS)
+        """``(table_name, position, column_name, data_type, nullable)`` of the base tables."""
+        return self._catalog(COLUMN_QUERIES[self.db_type], COLUMN_ROWS)
 
     def keys(self) -> DataFrame:
-        return _as_rows(self.query(_labelled(KEY_QUERIES[self.db_type], KEY_ROWS)), KEY_ROWS)
+        """Declared keys in the row shape of ``plans.catalog``."""
+        return self._catalog(KEY_QUERIES[self.db_type], KEY_ROWS)
 
     def table_names(self) -> DataFrame:
         return self.columns().select("table_name").distinct()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import date, datetime
 from typing import Any
@@ -93,8 +94,7 @@ def write_table(df: DataFrame, path: str, overwrite: bool = True) -> DataFrame:
 
 def write_description(document: DataFrame, folder: str, source: str) -> str:
     """Write a one-column text description; the name comes from the source's base name."""
-    base = source.rstrip("/").rsplit("/", 1)[-1].rsplit("?", 1)[0]
-    stem = base.rsplit(".", 1)[0] or base
+    stem, _ = os.path.splitext(os.path.basename(source.rstrip("/")))
     path = f"{folder.rstrip('/')}/{stem}_description.json"
     document.write.mode("overwrite").text(path)
     return path

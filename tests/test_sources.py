@@ -135,6 +135,22 @@ def test_catalog_rows_are_named_and_cast_by_position(spark):
     assert set(jdbc.COLUMN_QUERIES) == set(jdbc.KEY_QUERIES) == set(jdbc.DATABASES)
 
 
+def test_catalog_queries_name_and_type_their_columns(spark):
+    class Columns(FakeReader):
+        def toDF(self, *names):
+            return self
+
+        def select(self, *columns):
+            return self
+
+    reader = Columns(None)
+    source = jdbc.JdbcSource(reader, "Oracle", **LOGIN, service_name="s")
+    source._catalog("SELECT 1, 2", "a string, b boolean")
+    (scan,) = reader.loads
+    assert scan["dbtable"] == "(WITH catalog_rows (a, b) AS (SELECT 1, 2) SELECT * FROM catalog_rows) t"
+    assert scan["customSchema"] == "a string, b int"
+
+
 def test_inline_rows(spark):
     schema = T.StructType.fromDDL("id bigint, name string, score double, day date, at timestamp_ntz, n bigint")
     records = [

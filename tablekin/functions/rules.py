@@ -124,7 +124,6 @@ def padded_key(ctx: RuleContext, length: int = 12) -> Column:
 VALUE_RULES: Mapping[str, Callable[..., Column]] = {
     "date_between": date_between,
     "date_this_decade": date_window(_decade_start),
-    "date_this_month": date_window(_month_start),
     "date_this_year": date_window(_year_start),
     "date_time_this_decade": timestamp_window(_decade_start),
     "date_time_this_month": timestamp_window(_month_start),

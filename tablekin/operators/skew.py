@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_HOT_KEYS = 1000
-_TRACKED = 20_000
+_TRACKED = 6000
+_MERGERS = 256
 _SKETCHED = (T.IntegralType, T.StringType, T.DateType, T.DecimalType)
 
 # Parent rows up to this many are a few MB, so they may be sent to every executor.
@@ -19,18 +20,27 @@ BROADCAST_ROWS = 100_000
 def hot_keys(df: DataFrame, column: str) -> list[Any]:
     """Keys that hold more than 1/1000 of the rows each, so 1000 at most.
 
-    One pass with a frequent-items sketch; no key is shuffled.  The list only steers
+    One pass with a frequent-items sketch; no key is shuffled, and the sketches of many
+    scan tasks are merged by up to 256 tasks before the last one.  The list only steers
     how a join runs, its result is the same for any list.
     """
     if not isinstance(df.schema[column].dataType, _SKETCHED):
         return []
-    top, rows = (
+    found = (
         df.where(F.col(column).isNotNull())
         .select(F.col(column).alias("_key"))
-        .selectExpr(f"approx_top_k(_key, {MAX_HOT_KEYS}, {_TRACKED})", "count(1)")
+        .groupBy(F.expr(f"spark_partition_id() % {_MERGERS} AS _merger"))
+        .agg(F.expr(f"approx_top_k_accumulate(_key, {_TRACKED}) AS _sketch"), F.expr("count(1) AS _rows"))
+        .groupBy(F.lit(1))
+        .agg(
+            F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch, {_TRACKED}), {MAX_HOT_KEYS}) AS top"),
+            F.expr("sum(_rows) AS rows"),
+        )
         .first()
     )
-    return [item["item"] for item in top if item["count"] * MAX_HOT_KEYS > rows]
+    if found is None:
+        return []
+    return [item["item"] for item in found["top"] if item["count"] * MAX_HOT_KEYS > found["rows"]]
 
 
 def join_children(parent: DataFrame, key: str, child: DataFrame, child_key: str) -> DataFrame:

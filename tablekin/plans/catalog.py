@@ -210,26 +210,20 @@ def table_sizes(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _column_facts(tables: Mapping[str, DataFrame], facts: Mapping[str, str]) -> DataFrame:
-    """``(table_name, column_name, fact..)``: aggregates of every column, one pass per table.
-
-    ``{c}`` in a fact stands for the column.
-    """
+def null_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``(table_name, column_name, null_count)``, one pass per table."""
     parts = []
     for table, df in tables.items():
-        rows = []
-        for column in df.columns:
-            named = [f"'{n}', {f.format(c=quoted(column))}" for n, f in facts.items()]
-            rows.append(f"named_struct('column_name', {text_literal(column)}, {', '.join(named)})")
-        parts.append(df.selectExpr(f"{text_literal(table)} AS table_name", f"array({', '.join(rows)}) AS _facts"))
+        rows = [
+            f"named_struct('column_name', {text_literal(c)}, 'null_count', count_if({quoted(c)} IS NULL))"
+            for c in df.columns
+        ]
+        parts.append(
+            df.selectExpr(f"{text_literal(table)} AS table_name", f"array({', '.join(rows)}) AS _facts")
+        )
     return _union(parts).selectExpr("table_name", "inline(_facts)")
 
 
-def null_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """``(table_name, column_name, null_count)``, one pass per table."""
-    return _column_facts(tables, {"null_count": "count_if({c} IS NULL)"})
-
-
 def observed_columns(tables: Mapping[str, DataFrame], spec: Spec | None = None) -> DataFrame:
     """Declared columns next to the NULLs that are really there."""
     spark = next(iter(tables.values())).sparkSession
@@ -256,11 +250,38 @@ def key_facts(tables: Mapping[str, DataFrame], spec: Spec) -> DataFrame:
     return _union(parts)
 
 
-NEAR_UNIQUE = 0.9
-# 2**14 slots give a standard error of 0.8 %, so NEAR_UNIQUE is more than ten of them away.
-DISTINCT_ESTIMATE = (
-    "coalesce(hll_sketch_estimate(hll_sketch_agg(CASE WHEN {c} IS NOT NULL THEN xxhash64({c}) END, 14)), 0)"
-)
+# The default sketch has a standard error of about 2 %, so this is many of them below 1.
+NEAR_UNIQUE = 0.8
+_MERGERS = 256
+
+
+def _sketched_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``(table_name, column_name, row_count, null_count, distinct_estimate)``.
+
+    Every scan task gives one sketch per column; up to 256 tasks merge them before the
+    last one does, so no single task receives the sketches of a whole large scan.
+    """
+    parts = []
+    for table, df in tables.items():
+        names = {f"_{i}": column for i, column in enumerate(df.columns)}
+        sketches = [F.expr("count(1) AS _rows")]
+        for name, column in names.items():
+            c = quoted(column)
+            sketches.append(F.expr(f"count({c}) AS {name}_present"))
+            sketches.append(
+                F.expr(f"hll_sketch_agg(CASE WHEN {c} IS NOT NULL THEN xxhash64({c}) END) AS {name}_sketch")
+            )
+        merged = df.groupBy(F.expr(f"spark_partition_id() % {_MERGERS} AS _merger")).agg(*sketches)
+        rows = [
+            f"named_struct('column_name', {text_literal(column)}, 'row_count', coalesce(sum(_rows), 0), "
+            f"'null_count', coalesce(sum(_rows) - sum({name}_present), 0), 'distinct_estimate', "
+            f"coalesce(hll_sketch_estimate(hll_union_agg({name}_sketch)), 0))"
+            for name, column in names.items()
+        ]
+        parts.append(
+            merged.selectExpr(f"{text_literal(table)} AS table_name", f"array({', '.join(rows)}) AS _facts")
+        )
+    return _union(parts).selectExpr("table_name", "inline(_facts)")
 
 
 def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -270,14 +291,7 @@ def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     exactly, but only for the columns whose sketch is near the row count.
     """
     spark = next(iter(tables.values())).sparkSession
-    sketched = _column_facts(
-        tables,
-        {
-            "row_count": "count(1)",
-            "null_count": "count_if({c} IS NULL)",
-            "distinct_estimate": DISTINCT_ESTIMATE,
-        },
-    )
+    sketched = _sketched_columns(tables)
     observed = sketched.collect()  # one row per column of the catalog
     near = [
         (r["table_name"], r["column_name"])

@@ -26,7 +26,9 @@ def local_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructTy
     broadcast, and filters on it run while planning.  A list of rows would not.
     """
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    kinds = [_ARROW_TYPES[type(f.dataType)] for f in struct.fields]
+    kinds = [_ARROW_TYPES.get(type(f.dataType)) for f in struct.fields]
+    if None in kinds:
+        return spark.createDataFrame([tuple(row) for row in rows], struct)
     columns = list(zip(*rows)) if rows else [()] * len(kinds)
     arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
     return spark.createDataFrame(pa.Table.from_arrays(arrays, names=struct.names), struct)

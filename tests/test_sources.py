@@ -167,6 +167,12 @@ def test_inline_rows(spark):
         lake.inline_rows(spark, [{"typo": 1}], schema)
 
 
+def test_inline_rows_of_other_types(spark):
+    schema = T.StructType.fromDDL("id bigint, tags array<string>")
+    got = lake.inline_rows(spark, [{"tags": ["a"]}, {}], schema, "id").collect()
+    assert [tuple(r) for r in got] == [(1, ["a"]), (2, None)]
+
+
 def test_sql_over_named_tables(spark):
     got = lake.run_sql(spark, {"t": spark.range(5)}, "SELECT max(id) AS top FROM t ; ")
     assert got.collect()[0]["top"] == 4

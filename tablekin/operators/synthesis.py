@@ -5,6 +5,7 @@ All operators are pure functions of (seed, row key); see ``functions.draw``.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,9 +18,19 @@ from tablekin.operators.ordering import dense_index, shuffle_rank
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
+ROWS_PER_TASK = (50_000, 4_000_000)
+
+
 def generate_rows(spark: SparkSession, count: int, id_column: str = "id", first: int = 1) -> DataFrame:
-    """``count`` rows with dense ids from ``first``."""
-    return spark.range(first, first + count).withColumnRenamed("id", id_column)
+    """``count`` rows with dense ids from ``first``.
+
+    A small table comes from few tasks, so it is not written as many tiny files; a large
+    one uses all cores and has an upper bound on the rows of a task.
+    """
+    least, most = ROWS_PER_TASK
+    tasks = min(spark.sparkContext.defaultParallelism, math.ceil(count / least))
+    tasks = max(tasks, math.ceil(count / most), 1)
+    return spark.range(first, first + count, 1, tasks).withColumnRenamed("id", id_column)
 
 
 @dataclass(frozen=True)

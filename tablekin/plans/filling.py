@@ -135,7 +135,8 @@ def _add_values(
 
 def _literal_rows(run: _Run, table: TableDeclaration) -> DataFrame:
     records, first = table.populate["source_data"], run.first_ids[table.name]
-    return inline_rows(run.spark, records, table.schema, table.surrogate, first, table.defaults)
+    rows = inline_rows(run.spark, records, table.schema, table.surrogate, first, table.defaults)
+    return rows.coalesce(1)
 
 
 def _counted_rows(run: _Run, table: TableDeclaration) -> DataFrame:

@@ -82,6 +82,16 @@ def test_text_rules(spark):
         rule(spark, "city")
 
 
+def test_generated_rows_use_few_or_bounded_tasks(spark, monkeypatch):
+    assert [r[0] for r in s.generate_rows(spark, 3, "k", 5).collect()] == [5, 6, 7]
+    assert s.generate_rows(spark, 0).collect() == []
+    assert s.generate_rows(spark, 3).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(s, "ROWS_PER_TASK", (10, 100))
+    assert s.generate_rows(spark, 45).rdd.getNumPartitions() == 5
+    assert s.generate_rows(spark, 300).rdd.getNumPartitions() == 8
+    assert s.generate_rows(spark, 2000).rdd.getNumPartitions() == 20
+
+
 def test_foreign_keys_dense_and_sparse(spark):
     for parent, key in ((spark.range(5, 25), "id"), (sparse(spark), "key")):
         pool = s.key_pool(parent, key)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -620,62 +621,94 @@ def synth_report(spark, sf):
     return catalog.table_sizes(filled).join(violations, "table_name")
 
 
+def _llm():
+    """The queries of the training-data operators, or None where that subpackage is absent."""
+    try:
+        found = importlib.util.find_spec("tablekin.llm.queries")
+    except ModuleNotFoundError:
+        found = None
+    if found is None:
+        return None
+    from tablekin.llm import queries as llm
+
+    return llm
+
+
+def _with_workers(query: Query) -> Query:
+    """Let Python workers find this repository, wherever the session was started."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        here = os.path.dirname(os.path.abspath(__file__))
+        known = spark.sparkContext.environment.get("PYTHONPATH", "")
+        if here not in known.split(os.pathsep):
+            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [here, known]))
+        return query(spark, folder)
+
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The parent/child report on the smallest tables."""
     return parent_child_report(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
-    return {
-        "adhoc_sql": adhoc_sql,
-        "inline_rows": inline_join,
-        "table_sink": table_sink,
-        "description_sink": description_sink,
-        "project_alias": project_alias,
-        "concat_name": concat_name,
-        "filter_not_like": filter_not_like,
-        "join_inner": join_inner,
-        "join_left": join_left,
-        "count_per_parent": count_per_parent,
-        "random_top_k": random_top_k,
-        "limit_k": limit_k,
-        "parent_child_report": parent_child_report,
-        "keyed_update": keyed_update,
-        "shuffle_rank": shuffle_rank,
-        "insert_or_ignore": insert_or_ignore,
-        "catalog_tables": catalog_tables,
-        "catalog_columns": catalog_columns,
-        "primary_keys": primary_keys,
-        "foreign_keys": foreign_keys,
-        "relationships": relationships,
-        "column_profile": column_profile,
-        "observed_relationships": observed_relationships,
-        "check_not_null": check_not_null,
-        "check_unique": check_unique,
-        "check_primary_key": check_primary_key,
-        "check_expr": check_expr,
-        "check_foreign_key": check_foreign_key,
-        "apply_default": apply_default,
-        "constraint_report": constraint_report,
-        "generate_rows": generate_rows,
-        "value_rules": value_rules,
-        "sample_foreign_key": sample_foreign_key,
-        "sample_foreign_key_sparse": sample_foreign_key_sparse,
-        "inject_nulls": inject_nulls,
-        "assign_one_to_one": assign_one_to_one,
-        "fan_out": fan_out,
-        "sample_distinct_links": sample_distinct_links,
-        "sample_distinct_links_sparse": sample_distinct_links_sparse,
-        "self_reference_earlier": self_reference_earlier,
-        "self_reference_earlier_sparse": self_reference_earlier_sparse,
-        "reference_other": reference_other,
-        "update_reference": update_reference,
-        "decimal_to_double": decimal_to_double,
-        "synth_report": synth_report,
-    }
+    llm = _llm()
+    added = {name: _with_workers(query) for name, query in llm.QUERIES.items()} if llm else {}
+    return TABLE_QUERIES | added
+
+
+TABLE_QUERIES: dict[str, Query] = {
+    "adhoc_sql": adhoc_sql,
+    "inline_rows": inline_join,
+    "table_sink": table_sink,
+    "description_sink": description_sink,
+    "project_alias": project_alias,
+    "concat_name": concat_name,
+    "filter_not_like": filter_not_like,
+    "join_inner": join_inner,
+    "join_left": join_left,
+    "count_per_parent": count_per_parent,
+    "random_top_k": random_top_k,
+    "limit_k": limit_k,
+    "parent_child_report": parent_child_report,
+    "keyed_update": keyed_update,
+    "shuffle_rank": shuffle_rank,
+    "insert_or_ignore": insert_or_ignore,
+    "catalog_tables": catalog_tables,
+    "catalog_columns": catalog_columns,
+    "primary_keys": primary_keys,
+    "foreign_keys": foreign_keys,
+    "relationships": relationships,
+    "column_profile": column_profile,
+    "observed_relationships": observed_relationships,
+    "check_not_null": check_not_null,
+    "check_unique": check_unique,
+    "check_primary_key": check_primary_key,
+    "check_expr": check_expr,
+    "check_foreign_key": check_foreign_key,
+    "apply_default": apply_default,
+    "constraint_report": constraint_report,
+    "generate_rows": generate_rows,
+    "value_rules": value_rules,
+    "sample_foreign_key": sample_foreign_key,
+    "sample_foreign_key_sparse": sample_foreign_key_sparse,
+    "inject_nulls": inject_nulls,
+    "assign_one_to_one": assign_one_to_one,
+    "fan_out": fan_out,
+    "sample_distinct_links": sample_distinct_links,
+    "sample_distinct_links_sparse": sample_distinct_links_sparse,
+    "self_reference_earlier": self_reference_earlier,
+    "self_reference_earlier_sparse": self_reference_earlier_sparse,
+    "reference_other": reference_other,
+    "update_reference": update_reference,
+    "decimal_to_double": decimal_to_double,
+    "synth_report": synth_report,
+}
 
 
 def oracle_sql() -> dict[str, str]:
     from twins import twin_queries
 
-    return twin_queries(TABLES)
+    llm = _llm()
+    return twin_queries(TABLES) | (llm.oracles() if llm else {})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekin.llm import mixing, token_binary
+from tablekin.llm import mixing, ngram_join, token_binary
 from tablekin.llm.common import read_table
 
 
@@ -15,6 +15,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.similarity_classes(read_table(spark, sf, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     plan = mixing.mix_plan(read_table(spark, sf, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "copies", "shards")
@@ -25,6 +29,7 @@ def op10_token_binary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op6_mixing": op6_mixing,
     "op10_token_binary": op10_token_binary,
 }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekin.llm import mixing, ngram_join, token_binary
-from tablekin.llm.common import read_table
+from tablekin.llm import language_id, mixing, ngram_join, token_binary, toxicity
+from tablekin.llm.common import fold, read_table
 
 
 def tokenizer_path() -> str:
@@ -19,18 +19,39 @@ def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.similarity_classes(read_table(spark, sf, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    model = toxicity.fit_toxicity(docs, read_table(spark, sf, "labels"))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "clauses",
+    )
+
+
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     plan = mixing.mix_plan(read_table(spark, sf, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "copies", "shards")
 
 
+def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    found = language_id.predict_languages(docs, language_id.fit_languages(docs))
+    return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op10_token_binary(spark: SparkSession, sf: str) -> DataFrame:
     return token_binary.token_binary(read_table(spark, sf, "documents"), tokenizer_path())
 
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op4_toxicity": op4_toxicity,
     "op6_mixing": op6_mixing,
+    "op7_language_id": op7_language_id,
     "op10_token_binary": op10_token_binary,
 }
 

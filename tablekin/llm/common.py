@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,12 +31,16 @@ def partitions_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_MULTIPLIER = 0x9E3779B97F4A7C15
+_INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
-_powers = np.ones(1, dtype=np.uint64)
+#: A-Z count as a-z.
+_VALUE = np.array([c + 33 if 65 <= c <= 90 else c + 1 for c in range(256)], dtype=np.uint64)
+_WEIGHTS = np.array([(2 * k + 1) * 0xD6E8FEB86659FD93 % (1 << 64) | 1 for k in range(1, 17)], dtype=np.uint64)
+#: Bytes that are hashed together, so that short texts share the cost of a call.
+GROUP_BYTES = 1 << 19
+_powers = _inverses = np.ones(0, dtype=np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -46,48 +52,58 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """64-bit hashes of the words of UTF-8 ``data`` in order, A-Z lower-cased.
+def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and 64-bit hashes of the words of ``data``.
 
-    One polynomial per byte position, summed along the text, gives every word's
-    value as a difference of two sums: no loop over words.
+    A running sum of byte x power of its place gives every word's polynomial as a
+    difference of two sums, moved to place 0 by an inverse power: no loop over words.
     """
-    global _powers
+    global _powers, _inverses
     raw = np.frombuffer(data, dtype=np.uint8)
-    if not raw.size:
-        return np.zeros(0, dtype=np.uint64)
-    inside = ~_SPACE[raw]
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    if raw.size > _powers.size:
+        size = max(raw.size, 2 * GROUP_BYTES)
+        factors = np.full((2, size), [[_MULTIPLIER], [_INVERSE]], dtype=np.uint64)
+        factors[:, 0] = 1
+        _powers, _inverses = np.cumprod(factors, axis=1)
+    edges = np.flatnonzero(np.diff(~_SPACE[raw], prepend=False, append=False))
     starts, ends = edges[0::2], edges[1::2]
-    if not starts.size:
-        return np.zeros(0, dtype=np.uint64)
-    longest = int((ends - starts).max())
-    if longest > 64:
-        return np.array([_long_word(raw[a:b]) for a, b in zip(starts, ends, strict=True)], dtype=np.uint64)
-    if _powers.size < 64:
-        _powers = np.cumprod(np.full(64, _MULTIPLIER, dtype=np.uint64))
-    begin = np.zeros(raw.size, dtype=np.int64)
-    begin[starts] = starts
-    offset = np.arange(raw.size) - np.maximum.accumulate(begin)
-    value = (_FOLD[raw].astype(np.uint64) + np.uint64(1)) * _powers[np.where(inside, offset, 0)]
-    value[~inside] = 0
     total = np.zeros(raw.size + 1, dtype=np.uint64)
-    np.cumsum(value, out=total[1:])
-    return mixed(total[ends] - total[starts])
+    np.cumsum(_VALUE[raw] * _powers[: raw.size], out=total[1:])
+    return starts, mixed((total[ends] - total[starts]) * _inverses[starts])
+
 
+def _shingles(words: np.ndarray, size: int) -> np.ndarray:
+    value = words[: words.size - size + 1] * _WEIGHTS[0]
+    for j in range(1, size):
+        value = value + words[j : words.size - size + 1 + j] * _WEIGHTS[j]
+    return mixed(value + np.uint64(size))
 
-def _long_word(raw: np.ndarray) -> int:
-    value = (_FOLD[raw].astype(np.uint64) + np.uint64(1)) * np.cumprod(np.full(raw.size, _MULTIPLIER, dtype=np.uint64))
-    return int(mixed(value.sum(dtype=np.uint64, keepdims=True))[0])
 
+def shingle_sets(texts: Iterable[bytes | None], size: int = 5) -> Iterator[np.ndarray]:
+    """Per text the sorted distinct 64-bit hashes of its ``size``-word shingles, A-Z lower-cased.
 
-def shingle_hashes(data: bytes, size: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the ``size``-word shingles; fewer words count as one shingle."""
-    words = word_hashes(data)
-    if not words.size:
-        return words
-    k = max(1, words.size - size + 1)
-    value = np.full(k, min(size, words.size), dtype=np.uint64)
-    for j in range(min(size, words.size)):
-        value = mixed(value * np.uint64(3) + words[j : j + k])
-    return np.unique(value)
+    Fewer words count as one shingle; a text without words, or null, has none.
+    """
+    group: list[bytes] = []
+    held = 0
+    for text in texts:
+        group.append(text or b"")
+        held += len(group[-1]) + 1
+        if held >= GROUP_BYTES:
+            yield from _group_sets(group, size)
+            group, held = [], 0
+    yield from _group_sets(group, size)
+
+
+def _group_sets(group: list[bytes], size: int) -> Iterator[np.ndarray]:
+    if not group:
+        return
+    starts, words = _words(b"\n".join(group))
+    bounds = np.cumsum([0, *(len(t) + 1 for t in group)])
+    first = np.searchsorted(starts, bounds)
+    values = _shingles(words, size) if words.size >= size else words[:0]
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if b - a >= size:
+            yield np.unique(values[a : b - size + 1])
+        else:
+            yield _shingles(words[a:b], b - a) if b > a else words[:0]

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablekin.llm.common import mixed, partitions_of, shingle_hashes
+from tablekin.llm.common import mixed, partitions_of, shingle_sets as sets_of
 from tablekin.llm.components import connected_components
 from tablekin.staging import stage_table
 
@@ -56,7 +56,7 @@ def _sketch(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH_BINS, dtype=np.int64)
         for batch in batches:
-            found = [shingle_hashes(t.as_py() or b"", size) for t in batch.column(0)]
+            found = list(sets_of((t.as_py() for t in batch.column(0)), size))
             if found:
                 bins = (np.concatenate(found) % np.uint64(SKETCH_BINS)).astype(np.int64)
                 counts += np.bincount(bins, minlength=SKETCH_BINS)
@@ -91,8 +91,7 @@ def _sets(size: int, percent: int, levels):
         level = levels.value
         for batch in batches:
             sizes, sig_a, sig_b, prefixes, bands = [], [], [], [], []
-            for text in batch.column(1):
-                h = shingle_hashes(text.as_py() or b"", size)
+            for h in sets_of((t.as_py() for t in batch.column(1)), size):
                 n = h.size
                 rank = level[(h % np.uint64(SKETCH_BINS)).astype(np.int64)]
                 length = n - int(_need(np.int64(n), percent)) + 1 if n else 0
@@ -142,14 +141,11 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 def _compare(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[bytes, np.ndarray] = (b"", np.zeros(0, dtype=np.uint64))
         for batch in batches:
             shared, both = [], []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                text = x.as_py() or b""
-                if held[0] != text:
-                    held = (text, shingle_hashes(text, size))
-                a, b = held[1], shingle_hashes(y.as_py() or b"", size)
+            left = sets_of((t.as_py() for t in batch.column(2)), size)
+            right = sets_of((t.as_py() for t in batch.column(3)), size)
+            for a, b in zip(left, right, strict=True):
                 place = np.searchsorted(a, b)
                 found = int((a[np.minimum(place, a.size - 1)] == b).sum()) if a.size and b.size else 0
                 shared.append(found)
@@ -184,6 +180,22 @@ def _links(compared: DataFrame, percent: int) -> DataFrame:
 
 # ---- index ------------------------------------------------------------------------------
 
+BLOCKS = "token long, leader long, range long"
+#: Bits of a packed range for (largest - smallest size) and for the first position; the size comes above.
+SPAN_BITS, FIRST_BITS = 20, 12
+SPAN, FIRST = (1 << SPAN_BITS) - 1, (1 << FIRST_BITS) - 1
+
+
+def _pack(least: np.ndarray, most: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sizes and first position in one number; a span or position beyond its bits is stored as the loosest one."""
+    span = np.minimum(most - least, SPAN)
+    return (least << (SPAN_BITS + FIRST_BITS)) | (span << FIRST_BITS) | np.minimum(first, FIRST)
+
+
+def _unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    least, span = packed >> (SPAN_BITS + FIRST_BITS), (packed >> FIRST_BITS) & SPAN
+    return least, np.where(span == SPAN, np.int64(1) << 40, least + span), packed & FIRST
+
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Posts of a batch of classes, those of one leader for one token folded into a block."""
@@ -192,74 +204,82 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = batch.column(2)
         lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         token = lists.flatten().to_numpy()
+        if not token.size:
+            continue
         row = np.repeat(np.arange(leader.size), lengths)
         position = np.arange(token.size) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        who, size = leader[row], n[row].astype(np.int32)
-        order = np.lexsort((who, token))
-        token, who, size, position = token[order], who[order], size[order], position[order].astype(np.int32)
-        new = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (who[1:] != who[:-1])])) if token.size else []
-        if not len(new):
-            continue
+        order = np.lexsort((leader[row], token))
+        token, row, position = token[order], row[order], position[order]
+        who, size = leader[row], n[row].astype(np.int64)
+        new = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (who[1:] != who[:-1])]))
+        least, most = np.minimum.reduceat(size, new), np.maximum.reduceat(size, new)
+        packed = _pack(least, most, np.minimum.reduceat(position, new))
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(token[new]),
-                pa.array(who[new]),
-                pa.array(np.minimum.reduceat(size, new)),
-                pa.array(np.maximum.reduceat(size, new)),
-                pa.array(np.minimum.reduceat(position, new)),
-            ],
-            names=["token", "leader", "least", "most", "first"],
+            [pa.array(token[new]), pa.array(who[new]), pa.array(packed)], names=["token", "leader", "range"]
         )
 
 
-BLOCKS = "token long, leader long, least int, most int, first int"
-
-
 def _leader_pairs(percent: int):
-    """Pairs of leaders whose blocks in some list may hold a linked pair; rows come sorted by (token, least)."""
+    """Pairs of leaders met in the lists: (a, b, lists, size, possible); rows come sorted by (token, range).
 
-    def reach(held, block):
-        # sizes: the smaller set of a linked pair has at least percent of the larger one
-        sizes = (held["most"] * 100 >= block["least"] * percent) & (block["most"] * 100 >= held["least"] * percent)
-        # positions: what can still be shared from the first post on, against the overlap that the sizes ask for
-        rest = np.minimum(held["most"] - held["first"], block["most"] - block["first"])
-        return sizes & (rest * (100 + percent) >= percent * (held["least"] + block["least"]))
+    A pair whose size ranges are too far apart is skipped, and rows that no later,
+    larger block can reach leave the memory.  ``lists`` counts the lists where the
+    pair meets, ``size`` is the least size of its larger set, and ``possible`` says
+    that some list's positions leave room for the overlap needed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = np.dtype([("token", "i8"), ("leader", "i8"), ("least", "i8"), ("most", "i8"), ("first", "i8")])
-        held = np.zeros(0, dtype=kind)
+        held = np.zeros((3, 0), dtype=np.int64)
         for batch in batches:
-            rows = np.zeros(batch.num_rows, dtype=kind)
-            for k, name in enumerate(kind.names):
-                rows[name] = batch.column(k).to_numpy()
-            all_rows = np.concatenate([held, rows])
-            token = all_rows["token"]
-            out_a, out_b = [], []
+            if not batch.num_rows:
+                continue
+            rows = np.concatenate([held, np.stack([batch.column(k).to_numpy() for k in range(3)])], axis=1)
+            token, leader = rows[0], rows[1]
+            least, most, first = _unpack(rows[2])
             # each new row against the rows of its list at distance 1, 2, 3, ... before it
-            here = np.arange(held.size, all_rows.size)
-            step = 1
+            here, step, out = np.arange(held.shape[1], token.size), 1, []
             while here.size:
                 here = here[here >= step]
                 here = here[token[here - step] == token[here]]
-                if not here.size:
-                    break
-                x, y = all_rows[here - step], all_rows[here]
-                fits = reach(x, y) & (x["leader"] != y["leader"])
-                out_a.append(np.minimum(x["leader"], y["leader"])[fits])
-                out_b.append(np.maximum(x["leader"], y["leader"])[fits])
+                x, y = here - step, here
+                fits = (most[x] * 100 >= least[y] * percent) & (leader[x] != leader[y])
+                x, y = x[fits], y[fits]
+                rest = np.minimum(most[x] - first[x], most[y] - first[y])
+                possible = rest * (100 + percent) >= percent * (least[x] + least[y])
+                low, high = np.minimum(leader[x], leader[y]), np.maximum(leader[x], leader[y])
+                out.append(np.stack([low, high, np.maximum(least[x], least[y]), possible]))
                 step += 1
-            # rows of the open list stay while a later, larger block can still reach them
-            tail = all_rows[token == token[-1]] if all_rows.size else all_rows
-            held = tail[tail["most"] * 100 >= tail["least"][-1] * percent] if tail.size else tail
-            a = np.concatenate(out_a) if out_a else np.zeros(0, dtype=np.int64)
-            b = np.concatenate(out_b) if out_b else np.zeros(0, dtype=np.int64)
-            if a.size:
-                pairs = np.unique(np.stack([a, b]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            last = (token == token[-1]) & (most * 100 >= least[-1] * percent)
+            held = rows[:, last]
+            met = np.concatenate(out, axis=1) if out else np.zeros((4, 0), dtype=np.int64)
+            if met.shape[1]:
+                met = met[:, np.lexsort((met[1], met[0]))]
+                new = np.flatnonzero(np.concatenate([[True], (np.diff(met[:2], axis=1) != 0).any(axis=0)]))
+                lists = np.diff(np.append(new, met.shape[1]))
+                size, possible = np.minimum.reduceat(met[2], new), np.maximum.reduceat(met[3], new)
+                columns = [met[0][new], met[1][new], lists, size, possible]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "lists", "size", "possible"])
 
     return run
 
 
+MET = "a long, b long, lists long, size long, possible long"
+
+
+def _candidates(blocks: DataFrame, percent: int, partitions: int) -> DataFrame:
+    """Pairs of leaders (a, b) that may link, or whose followers may.
+
+    Beyond their prefixes two sets share at most percent of the smaller one, so the
+    prefixes themselves must share at least percent * (100 - percent) / (100 + percent)
+    hundredths of the larger one.
+    """
+    blocks = blocks.repartition(partitions, "token").sortWithinPartitions("token", "range")
+    met = blocks.mapInArrow(_leader_pairs(percent), MET).groupBy("a", "b")
+    met = met.agg(F.sum("lists").alias("lists"), F.min("size").alias("size"), F.max("possible").alias("possible"))
+    enough = F.col("lists") * (100 * (100 + percent)) >= F.col("size") * (percent * (100 - percent))
+    return met.where(enough & (F.col("possible") == 1)).select("a", "b")
+
+
 def _follower_pairs(posts: DataFrame, close: DataFrame, percent: int) -> DataFrame:
     """Pairs of followers of the leader pairs ``close`` (a, b, distance) that share a token and may link."""
     limit = 1 - percent / 100
@@ -321,8 +341,7 @@ def similarity_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     led = led.withColumn("leader", F.coalesce("leader", "cls")).withColumn("away", F.coalesce("away", F.lit(0.0)))
 
     blocks = led.select("leader", "n", "prefix").mapInArrow(_blocks, BLOCKS)
-    blocks = blocks.repartition(partitions_of(docs), "token").sortWithinPartitions("token", "least")
-    pairs = blocks.mapInArrow(_leader_pairs(percent), "a long, b long").distinct()
+    pairs = _candidates(blocks, percent, partitions_of(docs))
     compared = stage_table(compare_pairs(docs, pairs, size), "ngram-compared")
     direct = _links(compared, percent).select("a", "b")
 

@@ -118,7 +118,8 @@ def fit_languages(docs: DataFrame, clusters: int = CENTROIDS, sample_rows: int =
             seen[row["place"]] = row["rows"]
     idf = np.log((1 + total) / (1 + seen)) + 0.05
     share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
-    chosen = rows.select("doc_id", "text", "lang").join(counts.withColumnRenamed("lang", "of"), F.col("lang") == F.col("of"))
+    one_row_each = F.broadcast(counts.withColumnRenamed("lang", "of"))  # a row per language, never per document
+    chosen = rows.select("doc_id", "text", "lang").join(one_row_each, F.col("lang") == F.col("of"))
     chosen = chosen.where(share * F.col("rows_of_lang") < sample_rows).select("lang", "text")
     fitted = chosen.groupBy("lang").applyInPandas(_cluster(idf, clusters), "lang string, reject double, centroid binary").collect()
     fitted.sort(key=lambda r: (r["lang"].encode(), r["centroid"]))

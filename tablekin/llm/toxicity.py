@@ -19,10 +19,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablekin.llm.common import fold
+from tablekin.llm.common import fold, shingle_sets
+from tablekin.staging import stage_table
 
 # Words of the closed classes, in English, German, Spanish and French.
 THREATS = "kill hurt destroy burn beat töten schlagen matar golpear tuer frapper".split()
@@ -37,7 +38,7 @@ CLOSED = {w: k for k, ws in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NE
 #: Labelled rows of each class that fitting uses at most, lexicon entries kept, stem lengths tried.
 SAMPLE_ROWS = 4000
 LEXICON_SIZE = 400
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 #: A stem or word enters the lexicon if its share among toxic rows is larger by so many standard errors ...
 LEAST_Z = 5.0
 #: ... and so many times larger.
@@ -222,23 +223,25 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
         p = (t + c) / (n_toxic + n_clean)
         spread = math.sqrt(p * (1 - p) * (1 / n_toxic + 1 / n_clean)) or 1.0
         ratio = (t + 0.5) / (n_toxic + 1) / ((c + 0.5) / (n_clean + 1))
-        if (t / n_toxic - c / n_clean) / spread >= LEAST_Z and ratio >= LEAST_RATIO:
-            scored[entry] = (t, math.log(ratio))
+        z = (t / n_toxic - c / n_clean) / spread
+        if z >= LEAST_Z and ratio >= LEAST_RATIO:
+            scored[entry] = (round(z, 6), math.log(ratio))
     kept: dict[str, float] = {}
-    for entry, (t, weight) in sorted(scored.items(), key=lambda x: (-x[1][0], len(x[0]), x[0])):
-        # a stem already kept covers longer stems and words unless they say clearly more
-        covered = [kept[f"{entry[:k]}*"] for k in STEMS if k < len(entry) and f"{entry[:k]}*" in kept]
-        if (not covered or weight > max(covered) + 0.7) and len(kept) < LEXICON_SIZE:
+    for entry, (_, weight) in sorted(scored.items(), key=lambda x: (-x[1][0], -x[1][1], len(x[0]), x[0])):
+        stem = entry.removesuffix("*")
+        # a shorter or longer form of an entry that marks toxic rows better adds no evidence
+        related = any(k.startswith(stem) or k.endswith("*") and stem.startswith(k[:-1]) for k in kept)
+        if not related and len(kept) < LEXICON_SIZE:
             kept[entry] = weight
     return kept
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """Weights (bias last) of a ridge logistic regression with balanced classes, by Newton steps."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, toxic_share: float, ridge: float = 0.05) -> np.ndarray:
+    """Weights (bias last) of a ridge logistic regression, classes weighted to ``toxic_share``, by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
+    share = np.where(y == 1, toxic_share / max(1, y.sum()), (1 - toxic_share) / max(1, (1 - y).sum())) * len(y)
     w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge * len(y) / 10 + 1e-6)
+    penalty = np.full(x.shape[1], ridge + 1e-6)
     penalty[-1] = 1e-6
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -271,6 +274,15 @@ def _features(lexicon: dict[str, float]):
     return run
 
 
+def _with_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the least shingle hash, which near copies mostly share."""
+    for batch in batches:
+        texts = ((t.as_py() or "").encode() for t in batch.column(0))
+        least = [int(h[:1].view(np.int64)[0]) if h.size else 0 for h in shingle_sets(texts)]
+        columns = [*batch.columns, pa.array(least, type=pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["text", "toxic", "part", "sketch"])
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """At most ``rows`` labelled texts of either class, those with the least hashes of their ids; fold 0 of 5 is left out."""
     marks = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(fold(F.col("doc_id"), 5) != 0)
@@ -278,13 +290,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     parts = [marks.where(F.col("toxic") == k).orderBy(F.xxhash64("label_id"), "label_id").limit(rows) for k in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # at most 2 x rows ids
     named = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("label_id"))
-    return named.select("text", "toxic", fold(F.col("doc_id"), 5).alias("part"))
+    named = named.select("text", "toxic", fold(F.col("doc_id"), 5).cast("int").alias("part"))
+    named = named.mapInArrow(_with_sketch, "text string, toxic int, part int, sketch long")
+    # One text of each group of copies, else every rare word of a copied toxic text would look like a mark.
+    alike = Window.partitionBy("toxic", "sketch").orderBy(F.md5("text"), "part")
+    return named.withColumn("copy", F.row_number().over(alike)).where("copy = 1").drop("copy", "sketch")
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """Learn from at most ``rows`` labelled rows of either class; folds 1 to 3 give the lexicon, fold 4 the weights."""
-    from tablekin.staging import stage_table
-
     sample = stage_table(labelled_sample(docs, labels, rows), "toxicity-sample")
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not n.get(1) or not n.get(0):
@@ -299,7 +313,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
         weights = np.zeros(len(FEATURES) + 1)
         weights[1], weights[-1] = 4.0, -2.0
         return ToxicityModel(lexicon, weights)
-    return ToxicityModel(lexicon, fit_logistic(x, y))
+    held = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(fold(F.col("doc_id"), 5) != 0)
+    toxic_share = held.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
+    return ToxicityModel(lexicon, fit_logistic(x, y, toxic_share))
 
 
 # ---- scoring -------------------------------------------------------------------------

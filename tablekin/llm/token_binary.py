@@ -35,9 +35,10 @@ from tablekin.staging import new_path
 
 SELECT_EVERY = 256
 #: Ids of a block, beyond which it is closed; a longer document fills one block alone.
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 18
 #: Words whose ids a Python worker keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 FORMAT = (
     "part int, block int, first long, n_docs long, n_ids long, doc_ids binary, null_ids binary, ids binary, "
@@ -86,7 +87,6 @@ class EliasFano:
         place = int(self.selects[i // SELECT_EVERY])
         left, byte = i % SELECT_EVERY, place >> 3
         word = int(self.high[byte]) >> (place & 7)
-        place -= 0
         while (ones := word.bit_count()) <= left:
             left -= ones
             byte += 1
@@ -121,8 +121,20 @@ class _WordIds(dict):
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        value = self[word] = np.array(ids, dtype=self.kind).tobytes()
+        # Variants of a word share its ids: ASCII capitals fold (a following combining mark forbids it), and
+        # ASCII punctuation behind letters is a token run of its own unless it starts a contraction.
+        value, low = None, word.lower()
+        core = low.rstrip(PUNCTUATION)
+        if b"<|" not in word and b"\xcc" not in word and b"\xcd" not in word:
+            if core and core != low and low[len(core)] != 0x27 and core.decode("utf-8").lower().isalpha():
+                value = self[core] + self[low[len(core) :]]
+            elif low != word:
+                value = self[low]
+        if value is None:
+            ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
+            value = np.array(ids, dtype=self.kind).tobytes()
+        if len(self) < CACHE_WORDS:
+            self[word] = value
         return value
 
 
@@ -133,7 +145,7 @@ def _word_ids(path: str) -> _WordIds:
     global _words
     if _words is None or _words.path != path:
         _words = _WordIds(path)
-    if len(_words) > CACHE_WORDS:
+    if len(_words) >= CACHE_WORDS:
         _words.clear()
     return _words
 
@@ -169,8 +181,8 @@ def _writer(path: str, end_id: int, block_ids: int):
         part = TaskContext.get().partitionId()
         number = first = held = 0
         ids, keys = [], []
+        words = _word_ids(path)
         for batch in batches:
-            words = _word_ids(path)
             size = int(words.kind[-1])
             end = np.array([end_id], dtype=words.kind).tobytes()
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -184,6 +196,7 @@ def _writer(path: str, end_id: int, block_ids: int):
                     number, first, held, ids, keys = number + 1, first + held, 0, [], []
         if ids:
             yield pa.RecordBatch.from_pylist([_block(part, number, first, ids, keys, size)], schema)
+        pa.default_memory_pool().release_unused()
 
     return write
 

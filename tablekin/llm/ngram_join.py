@@ -5,7 +5,8 @@ sides are known to be connected needs no test.
 
 1. Equal sets fold into one class (its smallest doc_id); only classes go on.
 2. Leaders.  Classes that share minimum hashes and a size band are compared with
-   the smallest of them.  A class that links keeps this leader and its exact distance.
+   two of them, the smallest and another one.  A class that links with the smallest
+   keeps this leader and its exact distance.
 3. Index.  Every class posts the prefix of its set, rarest shingles first.  The
    posts of one leader's followers for one token make a block with its range of set
    sizes and its first position.  Two blocks of a list are skipped when no pair of
@@ -14,7 +15,7 @@ sides are known to be connected needs no test.
 5. Answers of followers derive from those of their leaders.  Jaccard distance is a
    metric, so followers x and y of leaders a and b can link only if
    d(a, b) <= limit + d(x, a) + d(y, b).  Only for such leader pairs, and only if not
-   connected already, are followers taken from the index and compared one by one.
+   connected already, are followers compared one by one.
 6. Connected components over all links.
 
 Every similarity is computed on whole sets.  The order of shingles inside a prefix
@@ -220,12 +221,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _leader_pairs(percent: int):
-    """Pairs of leaders met in the lists: (a, b, lists, size, possible); rows come sorted by (token, range).
+    """Pairs of leaders met in the lists: (a, b, lists, low, high, possible); rows come sorted by (token, range).
 
     A pair whose size ranges are too far apart is skipped, and rows that no later,
     larger block can reach leave the memory.  ``lists`` counts the lists where the
-    pair meets, ``size`` is the least size of its larger set, and ``possible`` says
-    that some list's positions leave room for the overlap needed.
+    pair meets, ``low`` and ``high`` bound its set sizes, and ``possible`` says that
+    some list's positions leave room for the overlap needed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,54 +248,55 @@ def _leader_pairs(percent: int):
                 rest = np.minimum(most[x] - first[x], most[y] - first[y])
                 possible = rest * (100 + percent) >= percent * (least[x] + least[y])
                 low, high = np.minimum(leader[x], leader[y]), np.maximum(leader[x], leader[y])
-                out.append(np.stack([low, high, np.maximum(least[x], least[y]), possible]))
+                out.append(np.stack([low, high, np.minimum(least[x], least[y]), np.maximum(most[x], most[y]), possible]))
                 step += 1
             last = (token == token[-1]) & (most * 100 >= least[-1] * percent)
             held = rows[:, last]
-            met = np.concatenate(out, axis=1) if out else np.zeros((4, 0), dtype=np.int64)
+            met = np.concatenate(out, axis=1) if out else np.zeros((5, 0), dtype=np.int64)
             if met.shape[1]:
                 met = met[:, np.lexsort((met[1], met[0]))]
                 new = np.flatnonzero(np.concatenate([[True], (np.diff(met[:2], axis=1) != 0).any(axis=0)]))
                 lists = np.diff(np.append(new, met.shape[1]))
-                size, possible = np.minimum.reduceat(met[2], new), np.maximum.reduceat(met[3], new)
-                columns = [met[0][new], met[1][new], lists, size, possible]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "lists", "size", "possible"])
+                low, high = np.minimum.reduceat(met[2], new), np.maximum.reduceat(met[3], new)
+                columns = [met[0][new], met[1][new], lists, low, high, np.maximum.reduceat(met[4], new)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[c.split()[0] for c in MET.split(", ")])
 
     return run
 
 
-MET = "a long, b long, lists long, size long, possible long"
+MET = "a long, b long, lists long, low long, high long, possible long"
 
 
 def _candidates(blocks: DataFrame, percent: int, partitions: int) -> DataFrame:
     """Pairs of leaders (a, b) that may link, or whose followers may.
 
-    Beyond their prefixes two sets share at most percent of the smaller one, so the
-    prefixes themselves must share at least percent * (100 - percent) / (100 + percent)
-    hundredths of the larger one.
+    Past the prefix that ends first, two sets share at most percent hundredths of the
+    larger one (what that prefix leaves over).  The rest of the overlap needed,
+    percent * (x + y) / (100 + percent), must lie in both prefixes.
     """
     blocks = blocks.repartition(partitions, "token").sortWithinPartitions("token", "range")
     met = blocks.mapInArrow(_leader_pairs(percent), MET).groupBy("a", "b")
-    met = met.agg(F.sum("lists").alias("lists"), F.min("size").alias("size"), F.max("possible").alias("possible"))
-    enough = F.col("lists") * (100 * (100 + percent)) >= F.col("size") * (percent * (100 - percent))
-    return met.where(enough & (F.col("possible") == 1)).select("a", "b")
+    met = met.agg(
+        F.sum("lists").alias("lists"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("possible").alias("possible")
+    )
+    asked = (F.col("low") * 100 - F.col("high") * percent) * percent
+    return met.where((F.col("lists") * (100 * (100 + percent)) >= asked) & (F.col("possible") == 1)).select("a", "b")
 
 
-def _follower_pairs(posts: DataFrame, close: DataFrame, percent: int) -> DataFrame:
-    """Pairs of followers of the leader pairs ``close`` (a, b, distance) that share a token and may link."""
+def _follower_pairs(led: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes led by the leader pairs ``near`` (a, b, distance, reach_b) that distances and sizes do not rule out."""
     limit = 1 - percent / 100
-    x = posts.select([F.col(c).alias(f"x_{c}") for c in posts.columns])
-    y = posts.select([F.col(c).alias(f"y_{c}") for c in posts.columns])
-    pairs = close.join(x, F.col("a") == F.col("x_leader")).join(
-        y, (F.col("b") == F.col("y_leader")) & (F.col("x_token") == F.col("y_token"))
+    x = led.select(*[F.col(c).alias(f"x_{c}") for c in ("leader", "cls", "n", "away")])
+    y = led.select(*[F.col(c).alias(f"y_{c}") for c in ("leader", "cls", "n", "away")])
+    pairs = near.join(
+        x, (F.col("a") == F.col("x_leader")) & (F.col("distance") <= F.col("x_away") + F.col("reach_b") + limit + 1e-9)
     )
-    smaller, larger = F.least("x_n", "y_n"), F.greatest("x_n", "y_n")
-    rest = F.least(F.col("x_n") - F.col("x_position"), F.col("y_n") - F.col("y_position"))
-    pairs = pairs.where(
-        (smaller * 100 >= larger * percent)
-        & (rest * (100 + percent) >= (F.col("x_n") + F.col("y_n")) * percent)
+    pairs = pairs.join(
+        y,
+        (F.col("b") == F.col("y_leader"))
         & (F.col("distance") <= F.col("x_away") + F.col("y_away") + limit + 1e-9)
-        & ~((F.col("x_cls") == F.col("a")) & (F.col("y_cls") == F.col("b")))
+        & (F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent)
+        & ~((F.col("x_cls") == F.col("a")) & (F.col("y_cls") == F.col("b"))),
     )
     return pairs.select(F.least("x_cls", "y_cls").alias("a"), F.greatest("x_cls", "y_cls").alias("b")).distinct()
 
@@ -303,14 +305,29 @@ def _follower_pairs(posts: DataFrame, close: DataFrame, percent: int) -> DataFra
 
 
 def _leaders(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links of classes with leaders, and per following class its leader and the distance to it."""
+    """Links of classes with leaders, and per following class its leader and the distance to it.
+
+    Each key proposes two leaders: its least class, whose followers fold in the index, and
+    one that depends on the key (the least after a bitwise mask), which ties together
+    groups whose members are not all near the least one.
+    """
     keys = classes.select("cls", F.explode("bands").alias("key"))
-    least = keys.groupBy("key").agg(F.min("cls").alias("leader"), F.count("*").alias("members")).where("members > 1")
-    agreed = keys.join(least, "key").where("cls != leader").groupBy("cls", "leader").count()
-    pairs = agreed.where(F.col("count") >= LEADER_AGREE).select(F.col("leader").alias("a"), F.col("cls").alias("b"))
+    mask = F.col("key").bitwiseAND(F.lit((1 << 62) - 1))
+    led = keys.groupBy("key").agg(
+        F.min("cls").alias("least"), F.min(F.col("cls").bitwiseXOR(mask)).alias("masked"), F.count("*").alias("members")
+    )
+    led = led.where("members > 1").select("key", F.array("least", F.col("masked").bitwiseXOR(mask)).alias("leaders"))
+    met = keys.join(led, "key").select("cls", F.posexplode("leaders").alias("kind", "leader")).where("cls != leader")
+    met = met.groupBy("cls", "leader").agg(F.min("kind").alias("kind"))
+    bands = classes.select(F.col("cls").alias("leader"), F.col("bands").alias("leader_bands"))
+    met = met.join(classes, "cls").join(bands, "leader")
+    met = met.where(F.size(F.array_intersect("bands", "leader_bands")) >= LEADER_AGREE).select("cls", "leader", "kind")
+    met = stage_table(met, "ngram-proposed")
+    pairs = met.select(F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b")).distinct()
     links = stage_table(_links(compare_pairs(docs, pairs, size), percent), "ngram-leaders")
     away = (1 - F.col("shared") / F.col("both")).alias("away")
     followers = links.select(F.col("b").alias("cls"), F.col("a").alias("leader"), away)
+    followers = followers.join(met.where("kind = 0").select("cls", "leader"), ["cls", "leader"], "left_semi")
     # A leader must follow nobody, or distances would not be direct.
     followers = followers.join(followers.select(F.col("cls").alias("leader")).distinct(), "leader", "left_anti")
     chosen = followers.groupBy("cls").agg(F.min("leader").alias("leader"))
@@ -341,7 +358,7 @@ def similarity_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     led = led.withColumn("leader", F.coalesce("leader", "cls")).withColumn("away", F.coalesce("away", F.lit(0.0)))
 
     blocks = led.select("leader", "n", "prefix").mapInArrow(_blocks, BLOCKS)
-    pairs = _candidates(blocks, percent, partitions_of(docs))
+    pairs = stage_table(_candidates(blocks, percent, partitions_of(docs)), "ngram-pairs")
     compared = stage_table(compare_pairs(docs, pairs, size), "ngram-compared")
     direct = _links(compared, percent).select("a", "b")
 
@@ -351,20 +368,18 @@ def similarity_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     near = compared.where(F.col("shared") * 100 < F.col("both") * percent).withColumn("distance", distance)
     near = near.join(reach.select(F.col("leader").alias("a"), F.col("reach").alias("reach_a")), "a", "left")
     near = near.join(reach.select(F.col("leader").alias("b"), F.col("reach").alias("reach_b")), "b", "left")
-    far = F.coalesce("reach_a", F.lit(0.0)) + F.coalesce("reach_b", F.lit(0.0))
+    near = near.withColumns({k: F.coalesce(k, F.lit(0.0)) for k in ("reach_a", "reach_b")})
+    far = F.col("reach_a") + F.col("reach_b")
     near = near.where((far > 0) & (F.col("distance") <= far + (1 - percent / 100) + 1e-9))
-    near = stage_table(near.select("a", "b", "distance"), "ngram-near")
+    near = stage_table(near.select("a", "b", "distance", "reach_b"), "ngram-near")
     links = star.unionByName(direct)
     if not near.isEmpty():
-        ids = near.select(F.explode(F.array("a", "b")).alias("leader")).distinct()
-        close = led.join(ids, "leader", "left_semi")
-        posts = close.select("leader", "cls", "n", "away", F.posexplode("prefix").alias("position", "token"))
         known = connected_components(links)
         x = known.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
         y = known.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
         apart = near.join(x, "a", "left").join(y, "b", "left")
-        apart = apart.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b", "distance")
-        more = _follower_pairs(posts, apart, percent)
+        apart = apart.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).drop("of_a", "of_b")
+        more = stage_table(_follower_pairs(led, apart, percent), "ngram-more")
         links = links.unionByName(_links(compare_pairs(docs, more, size), percent).select("a", "b"))
     labels = connected_components(links)
     placed = narrow.join(equal, ["n", "sig_a", "sig_b"], "left").join(labels, F.col("cls") == F.col("node"), "left")

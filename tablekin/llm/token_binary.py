@@ -36,8 +36,8 @@ from tablekin.staging import new_path
 SELECT_EVERY = 256
 #: Ids of a block, beyond which it is closed; a longer document fills one block alone.
 BLOCK_IDS = 1 << 18
-#: Words whose ids a Python worker keeps.
-CACHE_WORDS = 250_000
+#: Words whose ids a Python worker keeps, about 200 bytes each; the first it meets, so the frequent ones.
+CACHE_WORDS = 1_000_000
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 FORMAT = (
@@ -133,7 +133,7 @@ class _WordIds(dict):
         if value is None:
             ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
             value = np.array(ids, dtype=self.kind).tobytes()
-        if len(self) < CACHE_WORDS:
+        if len(self) < (CACHE_WORDS if word == core else CACHE_WORDS // 2):
             self[word] = value
         return value
 
@@ -145,8 +145,6 @@ def _word_ids(path: str) -> _WordIds:
     global _words
     if _words is None or _words.path != path:
         _words = _WordIds(path)
-    if len(_words) >= CACHE_WORDS:
-        _words.clear()
     return _words
 
 

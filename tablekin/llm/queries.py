@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekin.llm import language_id, mixing, ngram_join, token_binary, toxicity
+from tablekin.llm import language_id, mixing, ngram_join, permutation_index, token_binary, toxicity
 from tablekin.llm.common import fold, read_table
 
 
@@ -43,6 +43,11 @@ def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op9_permutation_index(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = read_table(spark, sf, "embeddings")
+    return permutation_index.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op10_token_binary(spark: SparkSession, sf: str) -> DataFrame:
     return token_binary.token_binary(read_table(spark, sf, "documents"), tokenizer_path())
 
@@ -52,6 +57,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op6_mixing": op6_mixing,
     "op7_language_id": op7_language_id,
+    "op9_permutation_index": op9_permutation_index,
     "op10_token_binary": op10_token_binary,
 }
 

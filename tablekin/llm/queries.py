@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekin.llm import language_id, mixing, ngram_join, permutation_index, token_binary, toxicity
+from tablekin.llm import hidden_markov, language_id, mixing, ngram_join, permutation_index, token_binary, toxicity
 from tablekin.llm.common import fold, read_table
 
 
@@ -32,6 +32,14 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_hidden_markov(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    scored = hidden_markov.score_texts(docs, fold(F.col("doc_id"), 7) != 2)
+    return scored.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     plan = mixing.mix_plan(read_table(spark, sf, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "copies", "shards")
@@ -55,6 +63,7 @@ def op10_token_binary(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op4_toxicity": op4_toxicity,
+    "op5_hidden_markov": op5_hidden_markov,
     "op6_mixing": op6_mixing,
     "op7_language_id": op7_language_id,
     "op9_permutation_index": op9_permutation_index,

@@ -5,8 +5,8 @@ sides are known to be connected needs no test.
 
 1. Equal sets fold into one class (its smallest doc_id); only classes go on.
 2. Leaders.  Classes that share minimum hashes and a size band are compared with
-   two of them, the smallest and another one.  A class that links with the smallest
-   keeps this leader and its exact distance.
+   two of them, the most central and another one.  A class that links with a central
+   one keeps this leader and its exact distance.
 3. Index.  Every class posts the prefix of its set, rarest shingles first.  The
    posts of one leader's followers for one token make a block with its range of set
    sizes and its first position.  Two blocks of a list are skipped when no pair of
@@ -40,7 +40,9 @@ from tablekin.staging import stage_table
 SKETCH_BINS = 1 << 20
 SKETCH_KEPT = 1 << 16
 #: Minimum hashes that propose leaders, and how many must agree.
-LEADER_KEYS, LEADER_AGREE = 6, 2
+LEADER_KEYS, LEADER_AGREE = 8, 2
+#: Shingles of a block of followers.
+BLOCK_SHINGLES = 1 << 20
 #: Buckets of the id filter in front of a join with texts.
 FILTER_BUCKETS = 1 << 20
 
@@ -57,10 +59,9 @@ def _sketch(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH_BINS, dtype=np.int64)
         for batch in batches:
-            found = list(sets_of((t.as_py() for t in batch.column(0)), size))
-            if found:
-                bins = (np.concatenate(found) % np.uint64(SKETCH_BINS)).astype(np.int64)
-                counts += np.bincount(bins, minlength=SKETCH_BINS)
+            for h in sets_of((t.as_py() for t in batch.column(0)), size):
+                # shingles of one text are distinct, their bins nearly
+                np.add.at(counts, (h % np.uint64(SKETCH_BINS)).astype(np.int64), 1)
         mean = counts.mean()
         bins = np.flatnonzero(counts > mean + 6 * np.sqrt(mean) + 4)
         yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(counts[bins])], names=["bin", "count"])
@@ -159,16 +160,21 @@ def _compare(size: int):
     return run
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of ``docs`` for at least the ``ids``, through a filter of fixed size on hashed ids."""
+    bucket = F.pmod(F.xxhash64("id"), F.lit(FILTER_BUCKETS)).cast("int")
+    wanted = F.broadcast(ids.select(bucket.alias("bucket")).distinct())  # at most FILTER_BUCKETS rows
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
+    return texts.withColumn("bucket", bucket).join(wanted, "bucket", "left_semi").drop("bucket")
+
+
 def compare_pairs(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     """Intersection (``shared``) and union (``both``) sizes of the sets of pairs (a, b) of doc_ids.
 
     Texts pass a filter of fixed size on their ids first, so that those of documents in
     no pair are not shuffled.
     """
-    bucket = F.pmod(F.xxhash64("id"), F.lit(FILTER_BUCKETS)).cast("int")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(bucket.alias("bucket")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
-    texts = texts.withColumn("bucket", bucket).join(F.broadcast(ids), "bucket", "left_semi").drop("bucket")
+    texts = _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")))
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
@@ -283,22 +289,66 @@ def _candidates(blocks: DataFrame, percent: int, partitions: int) -> DataFrame:
     return met.where((F.col("lists") * (100 * (100 + percent)) >= asked) & (F.col("possible") == 1)).select("a", "b")
 
 
-def _follower_pairs(led: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes led by the leader pairs ``near`` (a, b, distance, reach_b) that distances and sizes do not rule out."""
-    limit = 1 - percent / 100
-    x = led.select(*[F.col(c).alias(f"x_{c}") for c in ("leader", "cls", "n", "away")])
-    y = led.select(*[F.col(c).alias(f"y_{c}") for c in ("leader", "cls", "n", "away")])
-    pairs = near.join(
-        x, (F.col("a") == F.col("x_leader")) & (F.col("distance") <= F.col("x_away") + F.col("reach_b") + limit + 1e-9)
+def _block_links(size: int, percent: int):
+    """Classes y against one block of the classes x that follow a leader: at most one link per y and block.
+
+    ``distance`` is that of the two leaders; classes that distances or sizes rule out are not looked at.
+    """
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        found_a, found_b = [], []
+        if left.num_rows and right.num_rows:
+            x_id, x_away = left["x_cls"].to_numpy(), left["x_away"].to_numpy()
+            x_sets = list(sets_of((t.as_py() for t in left["x_text"]), size))
+            x_n = np.array([x.size for x in x_sets])
+            y_rows = zip(*(right[c].to_pylist() for c in ("y_cls", "y_away", "distance")), strict=True)
+            for (y, away, distance), h in zip(y_rows, sets_of((t.as_py() for t in right["y_text"]), size), strict=True):
+                open_x = (x_away + away + 1 - percent / 100 + 1e-9 >= distance) & (x_away + away > 0)
+                open_x &= np.minimum(x_n, h.size) * 100 >= np.maximum(x_n, h.size) * percent
+                for k in np.flatnonzero(open_x).tolist():
+                    x = x_sets[k]
+                    place = np.minimum(np.searchsorted(x, h), x.size - 1)
+                    shared = int((x[place] == h).sum())
+                    if shared * 100 >= (x.size + h.size - shared) * percent:
+                        found_a.append(int(x_id[k]))
+                        found_b.append(y)
+                        break
+        return pa.table([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _follower_links(docs: DataFrame, led: DataFrame, near: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between classes led by the leader pairs ``near`` (a, b, distance).
+
+    The larger following is cut into blocks of at most about ``BLOCK_SHINGLES`` shingles;
+    the classes of the smaller one meet every block.
+    """
+    mass = led.groupBy("leader").agg(F.sum("n").alias("mass"))
+    sides = [mass.select(F.col("leader").alias(k), F.col("mass").alias(f"mass_{k}")) for k in ("a", "b")]
+    near = near.select("a", "b", "distance").join(sides[0], "a").join(sides[1], "b")
+    more = F.col("mass_a") >= F.col("mass_b")
+    near = near.select(
+        F.when(more, F.col("a")).otherwise(F.col("b")).alias("large"),
+        F.when(more, F.col("b")).otherwise(F.col("a")).alias("small"),
+        F.ceil(F.greatest("mass_a", "mass_b") / BLOCK_SHINGLES).cast("int").alias("blocks"),
+        "distance",
     )
-    pairs = pairs.join(
-        y,
-        (F.col("b") == F.col("y_leader"))
-        & (F.col("distance") <= F.col("x_away") + F.col("y_away") + limit + 1e-9)
-        & (F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent)
-        & ~((F.col("x_cls") == F.col("a")) & (F.col("y_cls") == F.col("b"))),
+    ids = near.select(F.explode(F.array("large", "small")).alias("leader")).distinct()
+    own = led.select("leader", "cls", "away").join(ids, "leader", "left_semi")
+    own = own.join(_texts(docs, own.select(F.col("cls").alias("id"))), F.col("cls") == F.col("id")).drop("id")
+    large = near.select("large", "blocks").distinct()
+    x = own.join(large, F.col("leader") == F.col("large"))
+    x = x.select(
+        "large",
+        F.pmod(F.xxhash64("cls"), "blocks").cast("int").alias("block"),
+        *[F.col(c).alias(f"x_{c}") for c in ("cls", "away", "text")],
     )
-    return pairs.select(F.least("x_cls", "y_cls").alias("a"), F.greatest("x_cls", "y_cls").alias("b")).distinct()
+    y = near.join(own, F.col("small") == F.col("leader"))
+    y = y.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    y = y.select(F.col("large").alias("of_large"), F.col("block").alias("of_block"), "distance", *[F.col(c).alias(f"y_{c}") for c in ("cls", "away", "text")])
+    pairs = x.groupBy("large", "block").cogroup(y.groupBy("of_large", "of_block"))
+    return pairs.applyInArrow(_block_links(size, percent), "a long, b long")
 
 
 # ---- the join -----------------------------------------------------------------------------
@@ -307,16 +357,22 @@ def _follower_pairs(led: DataFrame, near: DataFrame, percent: int) -> DataFrame:
 def _leaders(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links of classes with leaders, and per following class its leader and the distance to it.
 
-    Each key proposes two leaders: its least class, whose followers fold in the index, and
-    one that depends on the key (the least after a bitwise mask), which ties together
-    groups whose members are not all near the least one.
+    Each key proposes two leaders: its most central class (whose keys have most members,
+    so that few of its shingles are its own), whose followers fold in the index, and one
+    that depends on the key (the least after a bitwise mask), which ties together
+    groups whose members are not all near the central one.
     """
     keys = classes.select("cls", F.explode("bands").alias("key"))
+    members = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    keys = stage_table(keys.join(members, "key"), "ngram-keys")
+    weight = keys.groupBy("cls").agg(F.sum("members").alias("weight"))
     mask = F.col("key").bitwiseAND(F.lit((1 << 62) - 1))
-    led = keys.groupBy("key").agg(
-        F.min("cls").alias("least"), F.min(F.col("cls").bitwiseXOR(mask)).alias("masked"), F.count("*").alias("members")
+    led = keys.join(weight, "cls").groupBy("key").agg(
+        F.max(F.struct("weight", (-F.col("cls")).alias("cls"))).alias("central"),
+        F.min(F.col("cls").bitwiseXOR(mask)).alias("masked"),
     )
-    led = led.where("members > 1").select("key", F.array("least", F.col("masked").bitwiseXOR(mask)).alias("leaders"))
+    led = led.select("key", F.array(-F.col("central.cls"), F.col("masked").bitwiseXOR(mask)).alias("leaders"))
+    weights = {k: weight.select(F.col("cls").alias(k), F.col("weight").alias(f"{k}_weight")) for k in ("cls", "leader")}
     met = keys.join(led, "key").select("cls", F.posexplode("leaders").alias("kind", "leader")).where("cls != leader")
     met = met.groupBy("cls", "leader").agg(F.min("kind").alias("kind"))
     bands = classes.select(F.col("cls").alias("leader"), F.col("bands").alias("leader_bands"))
@@ -326,12 +382,17 @@ def _leaders(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> tu
     pairs = met.select(F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b")).distinct()
     links = stage_table(_links(compare_pairs(docs, pairs, size), percent), "ngram-leaders")
     away = (1 - F.col("shared") / F.col("both")).alias("away")
-    followers = links.select(F.col("b").alias("cls"), F.col("a").alias("leader"), away)
+    sides = F.array(F.struct(F.col("a").alias("cls"), F.col("b").alias("leader")), F.struct(F.col("b").alias("cls"), F.col("a").alias("leader")))
+    followers = links.select(away, F.explode(sides).alias("side")).select("side.cls", "side.leader", "away")
     followers = followers.join(met.where("kind = 0").select("cls", "leader"), ["cls", "leader"], "left_semi")
+    # The more central one leads, the smaller id if both are equally central.
+    followers = followers.join(weights["cls"], "cls").join(weights["leader"], "leader")
+    leads = F.struct(F.col("leader_weight"), -F.col("leader")) > F.struct(F.col("cls_weight"), -F.col("cls"))
+    followers = followers.where(leads).select("cls", "leader", "away", "leader_weight")
     # A leader must follow nobody, or distances would not be direct.
     followers = followers.join(followers.select(F.col("cls").alias("leader")).distinct(), "leader", "left_anti")
-    chosen = followers.groupBy("cls").agg(F.min("leader").alias("leader"))
-    chosen = chosen.join(followers, ["cls", "leader"]).groupBy("cls", "leader").agg(F.max("away").alias("away"))
+    nearest = F.min(F.struct("away", "leader")).alias("nearest")
+    chosen = followers.groupBy("cls").agg(nearest).select("cls", "nearest.leader", "nearest.away")
     return links.select("a", "b"), stage_table(chosen, "ngram-followers")
 
 
@@ -371,16 +432,15 @@ def similarity_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     near = near.withColumns({k: F.coalesce(k, F.lit(0.0)) for k in ("reach_a", "reach_b")})
     far = F.col("reach_a") + F.col("reach_b")
     near = near.where((far > 0) & (F.col("distance") <= far + (1 - percent / 100) + 1e-9))
-    near = stage_table(near.select("a", "b", "distance", "reach_b"), "ngram-near")
+    near = stage_table(near.select("a", "b", "distance"), "ngram-near")
     links = star.unionByName(direct)
     if not near.isEmpty():
         known = connected_components(links)
         x = known.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
         y = known.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
         apart = near.join(x, "a", "left").join(y, "b", "left")
-        apart = apart.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).drop("of_a", "of_b")
-        more = stage_table(_follower_pairs(led, apart, percent), "ngram-more")
-        links = links.unionByName(_links(compare_pairs(docs, more, size), percent).select("a", "b"))
+        apart = apart.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b", "distance")
+        links = links.unionByName(_follower_links(docs, led, stage_table(apart, "ngram-apart"), size, percent))
     labels = connected_components(links)
     placed = narrow.join(equal, ["n", "sig_a", "sig_b"], "left").join(labels, F.col("cls") == F.col("node"), "left")
     return placed.select(

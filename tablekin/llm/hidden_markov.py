@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablekin.staging import stage_table
+from tablekin.llm.common import stage_packed
+
 
 #: Words with a symbol of their own, symbols that the others share (by their last bytes), latent states.
 OWN_SYMBOLS = 4096
@@ -262,7 +263,8 @@ def train(coded: DataFrame, shares: np.ndarray, states: int = STATES, iterations
     """Baum-Welch over all training rows of ``coded`` (training, symbols, key); the counts of the tasks are summed by Spark."""
     spark = coded.sparkSession
     rows = coded.where("training")
-    first = [bytes(r["symbols"]) for r in rows.orderBy("key").limit(START_ROWS).select("symbols").collect()]
+    last = rows.select("key").orderBy("key").limit(START_ROWS).agg(F.max("key")).first()[0]
+    first = [bytes(r["symbols"]) for r in rows.where(F.col("key") <= last).select("symbols").limit(2 * START_ROWS).collect()]
     if not first:
         even = np.full(states, 1 / states)
         return Markov(even, even, np.full((states, states), 1 / states), np.tile(shares, (states, 1)))
@@ -346,12 +348,12 @@ def score_texts(docs: DataFrame, training, states: int = STATES, iterations: int
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), training.alias("training"))
-    coded = stage_table(rows.mapInArrow(_code(CHUNK_WORDS), CODED), "markov-coded")
+    coded = stage_packed(rows.mapInArrow(_code(CHUNK_WORDS), CODED), "markov-coded")
     texts = coded.where("word IS NULL").select("chunk", "doc_id", "training", "codes")
     entries = coded.where("word IS NOT NULL").select("chunk", "local", "word", "train_count")
 
     words = entries.groupBy("word").agg(F.sum("train_count").alias("count"))
-    words = stage_table(words.mapInArrow(_with_ending, "word binary, count long, ending int"), "markov-words")
+    words = stage_packed(words.mapInArrow(_with_ending, "word binary, count long, ending int"), "markov-words")
     found = words.agg(F.sum("count").alias("tokens"), F.count_if(F.col("count") > 0).alias("types")).first()
     end_count = texts.where("training").count()
     train_tokens, vocabulary = (found["tokens"] or 0) + end_count, found["types"] + int(end_count > 0)
@@ -381,7 +383,7 @@ def score_texts(docs: DataFrame, training, states: int = STATES, iterations: int
         join, "doc_id long, training boolean, n_tokens long, n_known long, base_score double, inside double, symbols binary"
     )
     joined = joined.withColumn("key", F.xxhash64("doc_id", "n_tokens", "base_score"))
-    joined = stage_table(joined, "markov-symbols")
+    joined = stage_packed(joined, "markov-symbols")
     model = spark.sparkContext.broadcast(train(joined, shares, states, iterations))
     scored = joined.select("symbols", "doc_id", "n_tokens", "n_known", "base_score", "inside", "training").mapInArrow(
         _forward(model), "doc_id long, n_tokens long, n_known long, base_score double, score double, training boolean"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekin.llm import hidden_markov, language_id, mixing, ngram_join, permutation_index, token_binary, toxicity
+from tablekin.llm import decontaminate, hidden_markov, language_id, mixing, ngram_join, permutation_index, token_binary, toxicity
 from tablekin.llm.common import fold, read_table
 
 
@@ -19,6 +19,10 @@ def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.similarity_classes(read_table(spark, sf, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find_contaminated(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
 def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
     model = toxicity.fit_toxicity(docs, read_table(spark, sf, "labels"))
@@ -60,14 +64,22 @@ def op10_token_binary(spark: SparkSession, sf: str) -> DataFrame:
     return token_binary.token_binary(read_table(spark, sf, "documents"), tokenizer_path())
 
 
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op3_decontamination": op3_decontamination,
     "op4_toxicity": op4_toxicity,
     "op5_hidden_markov": op5_hidden_markov,
     "op6_mixing": op6_mixing,
     "op7_language_id": op7_language_id,
     "op9_permutation_index": op9_permutation_index,
     "op10_token_binary": op10_token_binary,
+    "pipeline": pipeline,
 }
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekin.llm import decontaminate, hidden_markov, language_id, mixing, ngram_join, permutation_index, token_binary, toxicity
+from tablekin.llm import decontaminate, hidden_markov, language_id, license_scan, mixing, ngram_join, permutation_index, surrogates, token_binary, toxicity
 from tablekin.llm.common import fold, read_table
 
 
@@ -19,6 +19,10 @@ def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.similarity_classes(read_table(spark, sf, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.scan_licenses(read_table(spark, sf, "documents"), license_scan.known_notices(spark))
+
+
 def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find_contaminated(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
 
@@ -55,6 +59,10 @@ def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    return surrogates.replace_personal(read_table(spark, sf, "documents"))
+
+
 def op9_permutation_index(spark: SparkSession, sf: str) -> DataFrame:
     vectors = read_table(spark, sf, "embeddings")
     return permutation_index.nearest(vectors, vectors.where("vec_id % 50 = 0"))
@@ -72,11 +80,13 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_license_scan": op2_license_scan,
     "op3_decontamination": op3_decontamination,
     "op4_toxicity": op4_toxicity,
     "op5_hidden_markov": op5_hidden_markov,
     "op6_mixing": op6_mixing,
     "op7_language_id": op7_language_id,
+    "op8_surrogates": op8_surrogates,
     "op9_permutation_index": op9_permutation_index,
     "op10_token_binary": op10_token_binary,
     "pipeline": pipeline,
@@ -84,4 +94,4 @@ QUERIES = {
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op2_license_scan": license_scan.oracle()}

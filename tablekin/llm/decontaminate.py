@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablekin.llm.common import small_batches
+
 #: Words of a passage and the step between passages: every run of 32 words lies within one.
 PASSAGE, STEP = 64, 32
 K1, B = 1.2, 0.75
@@ -74,7 +76,9 @@ class Index:
     #: Largest contributions of rare words alone, and what an item needs of them at least, as its other
     #: words cannot give more than the item's own share; items without that need, and what they need.
     rare: np.ndarray
-    rest: np.ndarray
+    rare_posts: dict[int, list[tuple[int, float]]]
+    least_terms: int
+    rest: list[float]
     least_rare: float
     least_common: float
     question: list[set]
@@ -106,6 +110,9 @@ def build_index(items: list[tuple[int, str]]) -> Index:
         blocks.append(([int(who[min(s + BLOCK_ITEMS, len(who)) - 1]) for s in starts], [float(value[s : s + BLOCK_ITEMS].max()) for s in starts]))
     largest = np.array([v.max() for _, v in arrays] + [0.0])
     rare = np.where(np.array([frequency[w] <= often for w in lists] + [False]), largest, 0.0)
+    rare_posts = {k: list(zip(who.tolist(), value.tolist(), strict=True)) for k, (who, value) in enumerate(arrays) if rare[k]}
+    least_rare = min((r for r in rest if r > 0), default=math.inf)
+    least_terms = math.ceil(least_rare / rare.max()) if rare.any() and least_rare < math.inf else 1
     pairs = [question_and_answer(t) for _, t in items]
     return Index(
         [k for k, _ in items],
@@ -116,8 +123,10 @@ def build_index(items: list[tuple[int, str]]) -> Index:
         np.array(need),
         min(need, default=math.inf),
         rare,
-        np.array(rest),
-        min((r for r in rest if r > 0), default=math.inf),
+        rare_posts,
+        least_terms,
+        rest,
+        least_rare,
         min((n for n, r in zip(need, rest, strict=True) if r <= 0), default=math.inf),
         [_grams(q) for q, _ in pairs],
         [_grams(a) for _, a in pairs],
@@ -188,14 +197,18 @@ def retrieve(index: Index, terms: set[int], threshold: float) -> list[tuple[int,
 
 def _may_hold(index: Index, terms: set[int]) -> bool:
     """Whether some item gets from the rare words of a passage what it needs of them."""
-    if sum(index.largest[t] for t in terms) >= index.least_common:
+    if index.least_common < math.inf and index.largest[list(terms)].sum() >= index.least_common:
         return True
+    posts = index.rare_posts
+    rare = [t for t in terms if t in posts]
+    if len(rare) < index.least_terms:
+        return False
     found: dict[int, float] = {}
-    for term in terms:
-        if index.rare[term]:
-            for item, value in zip(*(x.tolist() for x in index.lists[term]), strict=True):
-                found[item] = found.get(item, 0.0) + value
-    return any(value >= index.rest[item] > 0 for item, value in found.items())
+    for term in rare:
+        for item, value in posts[term]:
+            found[item] = found.get(item, 0.0) + value
+    rest = index.rest
+    return any(value >= rest[item] > 0 for item, value in found.items())
 
 
 def _verified(index: Index, item: int, words: list[str]) -> tuple[float, float, float]:
@@ -290,6 +303,7 @@ def find_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         return run
 
+    docs = small_batches(docs)
     out = None
     for index in item_indexes(items):
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -300,6 +314,7 @@ def find_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def keep_uncontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no test item."""
+    docs = small_batches(docs)
     for index in item_indexes(items):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 

@@ -33,6 +33,15 @@ def partitions_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches held to a thousand rows: whole texts make large rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    known = int(df.sparkSession.conf.get(name, "10000"))
+    if known <= 0 or known > 1000:
+        df.sparkSession.conf.set(name, "1000")
+    return df
+
+
 def stage_packed(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder, tightly packed, and return a reader of it."""
     path = new_path(df.sparkSession, label)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablekin.llm.common import stage_packed
+from tablekin.llm.common import small_batches, stage_packed
 
 
 #: Words with a symbol of their own, symbols that the others share (by their last bytes), latent states.
@@ -347,6 +347,7 @@ def score_texts(docs: DataFrame, training, states: int = STATES, iterations: int
     without training rows all symbols are equally likely.
     """
     spark = docs.sparkSession
+    docs = small_batches(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), training.alias("training"))
     coded = stage_packed(rows.mapInArrow(_code(CHUNK_WORDS), CODED), "markov-coded")
     texts = coded.where("word IS NULL").select("chunk", "doc_id", "training", "codes")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablekin.llm.common import fold
+from tablekin.llm.common import fold, small_batches
 
 #: Dimensions of the hashed n-gram space, centroids per language.
 DIMENSIONS = 1 << 13
@@ -106,6 +106,7 @@ def fit_languages(docs: DataFrame, clusters: int = CENTROIDS, sample_rows: int =
     ``sample_rows`` rows per language, chosen by a hash of id and text.  Vectors of
     fixed size and at most ``clusters`` rows per language come to the driver.
     """
+    docs = small_batches(docs)
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(fold(F.col("doc_id"), 4) != 2)
     counts = rows.groupBy("lang").agg(F.count("*").alias("rows_of_lang"))
     counted = rows.select("text").mapInArrow(_frequencies, "place long, rows long").groupBy("place").agg(F.sum("rows").alias("rows"))

@@ -32,7 +32,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablekin.llm.common import mixed, partitions_of, shingle_sets as sets_of
+from tablekin.llm.common import mixed, partitions_of, small_batches
+from tablekin.llm.common import shingle_sets as sets_of
 from tablekin.llm.components import connected_components
 from tablekin.staging import stage_table
 
@@ -406,7 +407,7 @@ def similarity_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     one document; a null id gets its class's id if its set equals that of another
     row, else null.  Ties cannot occur.  An empty table gives no rows.
     """
-    docs = docs.select("doc_id", "text")
+    docs = small_batches(docs.select("doc_id", "text"))
     sets = stage_table(shingle_sets(docs, size, percent), "ngram-sets")
     narrow = sets.select("doc_id", "n", "sig_a", "sig_b")
     equal = narrow.where("n > 0").groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("cls"))

@@ -30,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablekin.llm.common import partitions_of
+from tablekin.llm.common import partitions_of, small_batches
 from tablekin.staging import new_path
 
 SELECT_EVERY = 256
 #: Ids of a block, beyond which it is closed; a longer document fills one block alone.
 BLOCK_IDS = 1 << 18
 #: Words whose ids a Python worker keeps, about 200 bytes each; the first it meets, so the frequent ones.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 FORMAT = (
@@ -210,6 +210,7 @@ def write_token_files(
     ``block_ids`` ids, so memory holds one block.  A null text is empty and gives the
     end id alone; null ids come first; rows with equal ids are ordered by text.
     """
+    docs = small_batches(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     rows = rows.repartitionByRange(parts or partitions_of(docs), "doc_id").sortWithinPartitions("doc_id", "text")
     rows.mapInArrow(_writer(tokenizer_path, end_id, block_ids), FORMAT).write.mode("overwrite").option(

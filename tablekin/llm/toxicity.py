@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablekin.llm.common import fold, shingle_sets
+from tablekin.llm.common import fold, shingle_sets, small_batches
 from tablekin.staging import stage_table
 
 # Words of the closed classes, in English, German, Spanish and French.
@@ -299,7 +299,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """Learn from at most ``rows`` labelled rows of either class; folds 1 to 3 give the lexicon, fold 4 the weights."""
-    sample = stage_table(labelled_sample(docs, labels, rows), "toxicity-sample")
+    sample = stage_table(labelled_sample(small_batches(docs), labels, rows), "toxicity-sample")
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not n.get(1) or not n.get(0):
         return ToxicityModel({}, np.zeros(len(FEATURES) + 1), 1.0 if n.get(1) else 0.0)

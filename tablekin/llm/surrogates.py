@@ -9,7 +9,16 @@ from tablekin.llm.common import stage_packed
 
 # What the types of personal data look like.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-SECRET = r"(?<![A-Za-z])(?:password|passwd|secret|token|api_key)=[A-Za-z0-9_/+-]++"
+# A key in any case, perhaps quoted, = or : with spaces, then a quoted value or, also behind an open quote, one up to a space, quote or bracket.
+SECRET_HEAD = (
+    r"(?i:password|passwd|passphrase|pwd|secret|token|(?:api|access|private|secret)[_-]?key)"
+    r"(?:\\?[\"'])?\h*+(?:={1,3}+>?|:)\h*+(?:\\?[\"'])?"
+)
+_FREE = r"\s\"'`,;<>(){}\[\]|&\\"
+SECRET = (
+    SECRET_HEAD + r"(?:(?<=\")(?=[^\"\n]*[\p{L}\p{N}])[^\"\n]++\"|(?<=')(?=[^'\n]*[\p{L}\p{N}])[^'\n]++'"
+    rf"|(?=[^{_FREE}]*[\p{{L}}\p{{N}}])[^{_FREE}]+(?<![.!?:])(?:&(?!\w+=)[^{_FREE}]+(?<![.!?:])){{0,64}})"
+)
 ADDRESS = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
 CARD = r"(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d-])"
 PHONE = r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\d)"
@@ -28,9 +37,10 @@ ROUNDS = 6
 
 
 def kind_of(entity: Column) -> Column:
-    kinds = (("email", EMAIL), ("secret", SECRET), ("address", ADDRESS), ("social", SOCIAL), ("phone", PHONE), ("card", CARD))
-    kind = F.when(F.contains(entity, F.lit("@")), "email")
-    for name, pattern in kinds[1:]:
+    # A secret may hold an @, a mail address neither = nor :.
+    kinds = (("address", ADDRESS), ("social", SOCIAL), ("phone", PHONE), ("card", CARD))
+    kind = F.when(F.rlike(entity, F.lit(f"^(?:{SECRET})$")), "secret").when(F.contains(entity, F.lit("@")), "email")
+    for name, pattern in kinds:
         kind = kind.when(F.rlike(entity, F.lit(f"^(?:{pattern})$")), name)
     return kind.otherwise("name")
 
@@ -39,15 +49,15 @@ def _digest(key: str, kind: Column, value: Column, attempt: Column, part: str) -
     return F.sha2(F.concat_ws("|", F.lit(f"{key}|{part}"), kind, value, attempt.cast("string")).cast("binary"), 256)
 
 
-def _in_form(text: Column, digest: Column) -> Column:
-    """``text`` with every ASCII digit, small and capital letter replaced by one of its class; the rest stays."""
+def _in_form(text: Column, digest: Column, digit: str = "[0-9]", small: str = "[a-z]", capital: str = "[A-Z]") -> Column:
+    """``text`` with every digit, small and capital letter (of these classes) replaced by an ASCII one; the rest stays."""
 
     def one(char: Column, place: Column) -> Column:
         pair = F.conv(F.substring(F.repeat(digest, F.lit(1) + F.floor(place / 32).cast("int")), place * 2 + 1, F.lit(2)), 16, 10).cast("int")
         return (
-            F.when(F.rlike(char, F.lit("[0-9]")), (pair % 10).cast("string"))
-            .when(F.rlike(char, F.lit("[a-z]")), F.char(F.lit(97) + pair % 26))
-            .when(F.rlike(char, F.lit("[A-Z]")), F.char(F.lit(65) + pair % 26))
+            F.when(F.rlike(char, F.lit(digit)), (pair % 10).cast("string"))
+            .when(F.rlike(char, F.lit(small)), F.char(F.lit(97) + pair % 26))
+            .when(F.rlike(char, F.lit(capital)), F.char(F.lit(65) + pair % 26))
             .otherwise(char)
         )
 
@@ -77,7 +87,7 @@ def _names(entity: Column, digest: Column) -> Column:
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     """A keyed stand-in of the same type: separators, lengths, capitals, country code, issuer, title and script stay.
 
-    Equal mail domains get equal stand-ins, and the last label stays.
+    Equal mail domains get equal stand-ins, and the last label stays.  A secret is its value alone, without key and quotes.
     """
     digest = _digest(key, kind, value, attempt, "entity")
     at = F.instr(value, "@")
@@ -88,8 +98,7 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     email = F.concat(
         _in_form(F.substr(value, F.lit(1), at - 1), digest), F.lit("@"), _in_form(host, _digest(key, kind, domain, no_attempt, "domain")), last
     )
-    equals = F.instr(value, "=")
-    secret = F.concat(F.substr(value, F.lit(1), equals), _in_form(F.substr(value, equals + 1), digest))
+    secret = _in_form(value, digest, r"\p{N}", r"[\p{L}&&[^\p{Lu}]]", r"\p{Lu}")
     octets = [(F.conv(F.substring(digest, 2 * k + 1, 2), 16, 10)).cast("string") for k in range(4)]
     code = F.regexp_extract(value, r"^(\+\d{1,3}[ .(-]*)", 1)
     phone = F.concat(code, _in_form(F.substr(value, F.length(code) + 1), digest))
@@ -142,7 +151,8 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
 def replace_personal(docs: DataFrame, key: str = "surrogate") -> DataFrame:
     """Rows of ``docs`` (doc_id, text) with personal data replaced: doc_id, text, n_entities, kinds.
 
-    The same value gets the same stand-in everywhere (``key`` decides which).  ``kinds``
+    The same value gets the same stand-in everywhere (``key`` decides which), a secret's
+    behind any key and in any quotes, which stay with the separator.  ``kinds``
     lists the types found, in order of place, comma separated.  Texts without personal
     data, empty and null texts come back as they are.  Repeated rows are treated alike;
     an empty table gives no rows.  Only the rows with findings are joined, by id and
@@ -154,10 +164,15 @@ def replace_personal(docs: DataFrame, key: str = "surrogate") -> DataFrame:
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.md5(text.cast("binary")).alias("digest"), "found"
     )
     holding = stage_packed(holding.distinct(), "surrogate-found")
-    places = holding.select("id", "digest", F.posexplode("found").alias("place", "value"))
-    places = places.withColumn("kind", kind_of(F.col("value")))
-    table = surrogate_table(places, key)
-    placed = places.join(table, ["kind", "value"]).groupBy("id", "digest")
+    places = holding.select("id", "digest", F.posexplode("found").alias("place", "entity"))
+    places = places.withColumn("kind", kind_of(F.col("entity")))
+    secret = F.col("kind") == "secret"
+    places = places.withColumn("head", F.when(secret, F.regexp_extract("entity", f"^{SECRET_HEAD}", 0)).otherwise(""))
+    places = places.withColumn("tail", F.when(secret, F.regexp_extract("entity", r"\\?[\"']$", 0)).otherwise(""))
+    bare = F.substr("entity", F.length("head") + 1, F.length("entity") - F.length("head") - F.length("tail"))
+    places = places.withColumn("value", bare)
+    table = surrogate_table(places, key).withColumnRenamed("stand_in", "new_value")
+    placed = places.join(table, ["kind", "value"]).withColumn("stand_in", F.concat("head", "new_value", "tail")).groupBy("id", "digest")
     placed = placed.agg(F.array_sort(F.collect_list(F.struct("place", "kind", "stand_in"))).alias("placed"))
     side = docs.select(
         "doc_id", text, F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.md5(text.cast("binary")).alias("_digest")

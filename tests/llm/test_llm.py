@@ -331,6 +331,45 @@ def test_surrogates(spark, odd, none):
     assert surrogates.replace_personal(none).count() == 0
 
 
+def test_secrets_in_every_form(spark):
+    low, high = "11acdfb36bb72224148e6160f674b4be45601bff", "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"
+    forms = {
+        "spaced": (f'ti of token = "{low}" anhaou', low, "ti of token = \"", "\" anhaou"),
+        "upper": (f'A,!! TOKEN = "{high}"!! TIINST', high, 'A,!! TOKEN = "', '"!! TIINST'),
+        "bare": (f"token={low}", low, "token=", ""),
+        "tight": (f'### token="{low}"###', low, '### token="', '"###'),
+        "single": (f"Api-Key : '{low}';", low, "Api-Key : '", "';"),
+        "json": (f'{{"accessToken": "{low}", "n": 1}}', low, '{"accessToken": "', '", "n": 1}'),
+        "escaped": (f'{{\\"secret\\":\\"{low}\\"}}', low, '{\\"secret\\":\\"', '\\"}'),
+        "url": (f"/x?token={low}&page=2", low, "/x?token=", "&page=2"),
+        "cut off": (f'token = "{low}', low, 'token = "', ""),
+        "mixed": ("Password: p@ss.w0rd&Yd5.", "p@ss.w0rd&Yd5", "Password: ", "."),
+        "phrase": ('passphrase = "пароль с 123"', "пароль с 123", 'passphrase = "', '"'),
+    }
+    plain = ["the token is here", 'token = ""', "tokens of 12", "secret: ..."]
+    rows = [(k, form[0], "en", "a") for k, form in enumerate(forms.values())] + [(100 + k, t, "en", "a") for k, t in enumerate(plain)]
+    got = {r.doc_id: r for r in surrogates.replace_personal(frame(spark, rows)).collect()}
+    remaining, shown = Counter(), defaultdict(set)
+    for k, (name, (_, value, before, after)) in enumerate(forms.items()):
+        text = got[k].text
+        assert got[k].kinds == "secret" and text.startswith(before) and text.endswith(after), (name, text)
+        remaining[name] = text.count(value)
+        shown[value].add(text[len(before) : len(text) - len(after)])
+    assert not any(remaining.values()), remaining
+    # One secret, one stand-in of its form, whatever stands around it.
+    assert all(len(news) == 1 for news in shown.values())
+    assert re.fullmatch(r"\d\d[a-z]{4}.{34}", *shown[low]) and re.fullmatch("[0-9A-Z]{40}", *shown[high])
+    assert [got[100 + k].text for k in range(len(plain))] == plain
+
+
+def test_no_secret_of_the_documents_remains(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    form = re.compile(r'(?i)token = "([0-9a-f]{40})"')
+    held = {v for r in docs.collect() for v in form.findall(r.text or "")}
+    out = surrogates.replace_personal(docs).collect()
+    assert len(held) > 10 and sum(v in held for r in out for v in re.findall("(?i)[0-9a-f]{40}", r.text or "")) == 0
+
+
 def test_permutation_index(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(1200, 16)).astype(np.float32)

@@ -24,13 +24,22 @@ def clean_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group that 5-word shingles (similarity 0.8) tie together.
 
-    Rows that repeat this id fold into one, the one of the least text; null ids stay.
+    Rows are grouped by their texts alone, each under a number of its own: rows that repeat
+    an id fold if their texts tie them together and stay apart otherwise.  Of rows with
+    the smallest id the one of the least digest stays; a null id comes after all others.
+    Texts without words fold only with the same text of the same id.
     """
-    docs = docs.select(*COLUMNS)
-    groups = ngram_join.similarity_classes(docs)
-    dropped = groups.where("component_id < doc_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    return kept.select(*COLUMNS)
+    rows = stage_packed(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "pipeline-rows")
+    groups = ngram_join.similarity_classes(rows.select(F.col("_row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("component"), (F.col("n_shingles") == 0).alias("empty"))
+    digest = F.md5(F.col("text").cast("binary"))
+    rest = F.xxhash64("lang", "source", "n_chars")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", digest.alias("digest"), rest.alias("rest"), "_row")
+    members = groups.join(rows.select("_row", order.alias("order")), "_row")
+    empty = [F.when(F.col("empty"), F.col(f"order.{c}")).alias(f"of_{c}") for c in ("doc_id", "digest")]
+    group = [F.when(~F.col("empty"), F.col("component")).alias("of_component"), F.col("empty"), *empty]
+    kept = members.groupBy(*group).agg(F.min("order").alias("first")).select("first._row")
+    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

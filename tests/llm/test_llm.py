@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tablekin.llm import (
     decontaminate,
     hidden_markov,
@@ -119,6 +120,21 @@ def test_ngram_join_edge_cases(odd, none):
     assert ngram_join.similarity_classes(none).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    texts = {k: " ".join(f"{k}{j}" for j in range(40)) for k in "abcd"}
+    near = texts["a"] + " more"
+    rows = [(7, texts["a"], "en", "s", 1)] * 50 + [(9, near, "en", "s", 1), (None, texts["a"], "en", "s", 1)]
+    rows += [(9, texts["b"], "en", "s", 1)]  # shares its id with a near copy of 7, but no text
+    rows += [(None, texts["c"], "en", "s", 1)] * 20
+    rows += [(3, texts["d"], "en", "s", 1), (3, texts["d"] + " more", "en", "s", 1)]
+    rows += [(11, None, "en", "s", 0)] * 3 + [(12, None, "en", "s", 0), (12, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(6)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert got.columns == corpus_pipeline.COLUMNS
+    got = Counter((r.doc_id, (r.text or "-")[:2] if r.text != "" else "") for r in got.collect())
+    assert got == Counter([(7, "a0"), (9, "b0"), (None, "c0"), (3, "d0"), (11, "-"), (12, "-"), (12, "")])
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(1, 40)] + [(100, 7), (200, 201), (201, 202), (202, 200)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekin.llm import decontaminate, hidden_markov, language_id, license_scan, mixing, ngram_join, permutation_index, surrogates, token_binary, toxicity
+from tablekin.llm import (
+    byte_bpe,
+    decontaminate,
+    filter_audit,
+    hidden_markov,
+    language_id,
+    license_scan,
+    mixing,
+    ngram_join,
+    permutation_index,
+    source_divergence,
+    surrogates,
+    token_binary,
+    toxicity,
+)
 from tablekin.llm.common import fold, read_table
 
 
@@ -72,6 +86,25 @@ def op10_token_binary(spark: SparkSession, sf: str) -> DataFrame:
     return token_binary.token_binary(read_table(spark, sf, "documents"), tokenizer_path())
 
 
+def op11_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return source_divergence.source_divergence(read_table(spark, sf, "documents"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = byte_bpe.encode_texts(read_table(spark, sf, "documents"), *vocabulary)
+    decoded = byte_bpe.decode_ids(encoded, *vocabulary)
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.filter_audit(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,9 +122,16 @@ QUERIES = {
     "op8_surrogates": op8_surrogates,
     "op9_permutation_index": op9_permutation_index,
     "op10_token_binary": op10_token_binary,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_filter_audit": op13_filter_audit,
     "pipeline": pipeline,
 }
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_license_scan": license_scan.oracle()}
+    return {
+        "op2_license_scan": license_scan.oracle(),
+        "op11_source_divergence": source_divergence.oracle(),
+        "op13_filter_audit": filter_audit.oracle(),
+    }

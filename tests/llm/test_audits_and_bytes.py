@@ -213,7 +213,8 @@ def audit(rows, labels):
             "D": bool(re.search("[#$%&*|]", text)),
             "E": key is not None and key > first[text],
         }
-        docs.append((source or "", {k for k, v in fails.items() if v}, key in good, key in toxic))
+        known = key is not None
+        docs.append((source or "", {k for k, v in fails.items() if v}, known and key in good, known and key in toxic))
     out = {}
     for part in {d[0] for d in docs}:
         mine = [d for d in docs if d[0] == part]

@@ -9,16 +9,27 @@ from pyspark.sql import functions as F
 
 
 def keyed_update(
-    target: DataFrame, key: str, updates: DataFrame, update_key: str, values: dict[str, str]
+    target: DataFrame,
+    key: str,
+    updates: DataFrame,
+    update_key: str,
+    values: dict[str, str],
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Set ``{target column: update column}`` on the rows whose key is in ``updates``.
 
-    An update value of NULL is written as NULL.  ``update_key`` is unique in ``updates``.
+    An update value of NULL is written as NULL.  Of several updates of one key the last in
+    ``order`` counts, as if they had been made one after the other; without an order, or
+    where it ties, the greatest values.  They are reduced before the shuffle.
     """
-    aliased = updates.select(
-        F.col(update_key).alias("_update_key"),
-        *[F.col(source).alias(f"_new_{column}") for column, source in values.items()],
-    ).where(F.col("_update_key").isNotNull())
+    new = F.struct(*[F.col(source).alias(f"_new_{column}") for column, source in values.items()])
+    last = F.max(F.struct(*[F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)], new.alias("_new")))
+    aliased = (
+        updates.where(F.col(update_key).isNotNull())
+        .groupBy(F.col(update_key).alias("_update_key"))
+        .agg(last.alias("_last"))
+        .select("_update_key", "_last._new.*")
+    )
     joined = target.join(aliased, F.col(key) == F.col("_update_key"), "left")
     hit = F.col("_update_key").isNotNull()
     return joined.select(

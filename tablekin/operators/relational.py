@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablekin.functions.draw import shuffle_key
-from tablekin.operators.skew import BROADCAST_ROWS
+from tablekin.operators.skew import names_of, private_columns
+from tablekin.staging import stage_table
 
 
 def joined_text(*columns: str, separator: str = " ") -> Column:
@@ -25,17 +26,20 @@ def without_prefix(column: str, prefix: str) -> Column:
     return ~F.col(column).like(escaped + "%")
 
 
-def join_dimensions(
-    fact: DataFrame, *dimensions: tuple[DataFrame, str, str]
-) -> DataFrame:
+def join_dimensions(fact: DataFrame, *dimensions: tuple) -> DataFrame:
     """Inner-join ``(dimension, fact column, dimension key)`` one after the other.
 
-    Rows whose key is NULL or unknown drop out.  No broadcast hint: Spark broadcasts
-    a dimension only when its measured size is under the session's threshold, and
-    splits hot fact keys of a sort-merge join otherwise.
+    Keys may be lists of columns, and a fourth member is a prefix for the dimension's
+    column names.  A dimension's key that is named like a column there already is not repeated; any other
+    clash needs a prefix.  Rows whose key is NULL or unknown drop out.  No broadcast hint:
+    Spark broadcasts a dimension only when its measured size is under the session's
+    threshold, and splits hot fact keys of a sort-merge join otherwise.
     """
-    for dimension, column, key in dimensions:
-        fact = fact.join(dimension, F.col(column) == F.col(key), "inner")
+    for dimension, column, key, *prefix in dimensions:
+        known = [F.col(c) for c in fact.columns]
+        private, keys, shown = private_columns(fact, dimension, names_of(key), *prefix or [""])
+        match = [F.col(a) == F.col(b) for a, b in zip(names_of(column), keys, strict=True)]
+        fact = fact.join(private, match, "inner").select(*known, *shown)
     return fact
 
 
@@ -72,7 +76,7 @@ def first_k(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:
 def parent_child_report(
     parent: DataFrame,
     key: str,
-    dimensions: Sequence[tuple[DataFrame, str, str]],
+    dimensions: Sequence[tuple],
     child: DataFrame,
     child_key: str,
     counted: str,
@@ -82,12 +86,11 @@ def parent_child_report(
 ) -> DataFrame:
     """``k`` random parents with their dimension columns and child counts.
 
-    The sample depends on parents only, so it is drawn first; the child table is
-    then read once against the few sampled keys instead of being grouped as a whole.
-    A sample too large to broadcast is joined with the counts of all children.
+    The sample depends on parents only, so it is drawn first and written (``k`` rows); the child
+    table is then read once against the sampled keys instead of being grouped as a whole.
+    Spark broadcasts the sample if its file is under the session's threshold.
     """
-    sample = random_top_k(join_dimensions(parent, *dimensions), key, k, seed)
-    if k <= BROADCAST_ROWS:
-        wanted = F.broadcast(sample.select(F.col(key).alias("_wanted")))
-        child = child.join(wanted, F.col(child_key) == F.col("_wanted"), "left_semi")
+    sample = stage_table(random_top_k(join_dimensions(parent, *dimensions), key, k, seed), "sample")
+    wanted = sample.select(F.col(key).alias("_wanted"))
+    child = child.join(wanted, F.col(child_key) == F.col("_wanted"), "left_semi")
     return count_per_parent(sample, key, child, child_key, counted, count_name)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekin.functions.draw import draw_below, draw_between, in_share
-from tablekin.operators.ordering import dense_index, shuffle_rank
+from tablekin.functions.permutation import permuted
+from tablekin.operators.ordering import dense_index, number_by_digest, shuffle_rank
 
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -86,8 +87,12 @@ def dense_pool(size: int, first: int = 1, key_type: T.DataType | None = None) ->
     return KeyPool(size, key_type or T.LongType(), first=first)
 
 
-def key_pool(parent: DataFrame, key: str) -> KeyPool:
-    """The distinct non-NULL keys of ``parent``."""
+def key_pool(parent: DataFrame, key: str, ordered: bool = False) -> KeyPool:
+    """The distinct non-NULL keys of ``parent``.
+
+    A pool with gaps is numbered by digest, in one exchange; only if the numbers have to follow
+    the order of the keys (``ordered``) is it sorted and written once.
+    """
     key_type = parent.schema[key].dataType
     keys = parent.select(F.col(key).alias("_pool_key")).where(F.col("_pool_key").isNotNull())
     if isinstance(key_type, _INTEGERS):
@@ -97,8 +102,12 @@ def key_pool(parent: DataFrame, key: str) -> KeyPool:
         # Fewer rows than the span cannot be gap-free; otherwise count the distinct keys.
         if rows >= high - low + 1 and keys.distinct().count() == high - low + 1:
             return KeyPool(high - low + 1, key_type, first=low)
-    numbered = dense_index(keys.distinct(), ["_pool_key"], "_pool_index")
-    return KeyPool(numbered.count(), key_type, numbered=numbered)
+    keys = keys.distinct()
+    if ordered:
+        numbered = dense_index(keys, ["_pool_key"], "_pool_index")
+        return KeyPool(numbered.count(), key_type, numbered=numbered)
+    size = keys.count()
+    return KeyPool(size, key_type, numbered=number_by_digest(keys, "_pool_key", "pool", "_pool_index", 0, size))
 
 
 def sample_foreign_key(
@@ -142,26 +151,6 @@ def fan_out(
     return parent.withColumn(seq, F.explode(numbers))
 
 
-def distinct_draws(size: int, k: Column, seed: str | int, key: Column | str) -> Column:
-    """An array of ``k`` different numbers below ``size``, every subset equally likely.
-
-    Floyd's sampling (Bentley and Floyd, 1987): one pass over the last ``k`` numbers,
-    each step adds a draw below it or, if that is taken, the number itself.
-    """
-    steps = F.transform(
-        F.sequence(F.lit(size).cast("bigint") - k, F.lit(size - 1).cast("bigint")),
-        lambda last: F.struct(
-            last.alias("last"), draw_below(last + F.lit(1), seed, key, last).alias("drawn")
-        ),
-    )
-
-    def choose(chosen: Column, step: Column) -> Column:
-        taken = F.array_contains(chosen, step["drawn"])
-        return F.array_append(chosen, F.when(taken, step["last"]).otherwise(step["drawn"]))
-
-    return F.aggregate(steps, F.array().cast("array<bigint>"), choose)
-
-
 def sample_distinct_links(
     source: DataFrame,
     key: str,
@@ -174,7 +163,9 @@ def sample_distinct_links(
 ) -> DataFrame:
     """Link each source row to k different pool keys, k uniform in [low, high] but at most all.
 
-    Nothing is shuffled for a gap-free pool, and no source row meets the whole pool.
+    Each source row has a permutation of the pool of its own, whose first k places are its
+    links: different by construction, found in time linear in k.  Nothing is shuffled for
+    a gap-free pool, and no source row meets the whole pool.
     """
     if low < 0:
         raise ValueError("a row cannot have fewer than 0 links")
@@ -182,10 +173,10 @@ def sample_distinct_links(
         empty = source.withColumn(seq, F.lit(1).cast("bigint")).where(F.lit(False))
         return empty.withColumn(name, F.lit(None).cast(pool.key_type))
     k = F.least(draw_between(low, high, f"{seed}|k", key), F.lit(pool.size).cast("bigint"))
-    targets = F.when(k > 0, distinct_draws(pool.size, k, seed, key))
-    linked = source.select("*", F.posexplode(targets).alias(seq, "_target"))
-    linked = linked.withColumn(seq, F.col(seq).cast("bigint") + F.lit(1))
-    return pool.look_up(linked, F.col("_target"), name).drop("_target")
+    numbers = F.when(k > 0, F.sequence(F.lit(1).cast("bigint"), k))
+    linked = source.withColumn(seq, F.explode(numbers))
+    target = permuted(F.col(seq) - F.lit(1), pool.size, seed, key)
+    return pool.look_up(linked, target, name)
 
 
 def self_reference_earlier(

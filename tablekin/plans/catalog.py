@@ -15,17 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablekin.functions.canonical import key_hash
 from tablekin.plans.constraints import (
     Spec,
-    check_unique,
     child_key_counts,
-    is_declared_key,
     key_match,
     parent_keys,
     quoted,
     referenced_columns,
     text_literal,
 )
+from tablekin.plans.keys import distinct_counts
 from tablekin.sources.local import local_rows
 
 KEY_ROWS = (
@@ -269,7 +269,7 @@ def _sketched_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
             c = quoted(column)
             sketches.append(F.expr(f"count({c}) AS {name}_present"))
             sketches.append(
-                F.expr(f"hll_sketch_agg(CASE WHEN {c} IS NOT NULL THEN xxhash64({c}) END) AS {name}_sketch")
+                F.hll_sketch_agg(F.when(F.col(c).isNotNull(), key_hash([column], df.schema))).alias(f"{name}_sketch")
             )
         merged = df.groupBy(F.expr(f"spark_partition_id() % {_MERGERS} AS _merger")).agg(*sketches)
         rows = [
@@ -284,33 +284,29 @@ def _sketched_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union(parts).selectExpr("table_name", "inline(_facts)")
 
 
-def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
+def column_profile(tables: Mapping[str, DataFrame], exact: bool = False) -> DataFrame:
     """``(table_name, column_name, row_count, null_count, distinct_estimate, is_unique)``.
 
     A first pass sketches all columns of a table at once.  Uniqueness is then decided
-    exactly, but only for the columns whose sketch is near the row count.
+    exactly, but only for the columns whose sketch is near the row count.  With ``exact``
+    the values of all columns are counted, as ``distinct_count``.
     """
     spark = next(iter(tables.values())).sparkSession
     sketched = _sketched_columns(tables)
     observed = sketched.collect()  # one row per column of the catalog
-    near = [
-        (r["table_name"], r["column_name"])
-        for r in observed
-        if r["distinct_estimate"] >= NEAR_UNIQUE * (r["row_count"] - r["null_count"])
-    ]
-    profile = local_rows(spark, observed, sketched.schema)
-    if not near:
-        return profile.withColumn("is_unique", F.lit(False))
-    exact = _union(
-        [
-            check_unique(tables[t], [c]).selectExpr(
-                f"{text_literal(t)} AS table_name", f"{text_literal(c)} AS column_name", "count(1) = 0 AS _exact"
-            )
-            for t, c in near
-        ]
+    wanted: dict[str, list[tuple[str]]] = {}
+    for r in observed:
+        if exact or r["distinct_estimate"] >= NEAR_UNIQUE * (r["row_count"] - r["null_count"]):
+            wanted.setdefault(r["table_name"], []).append((r["column_name"],))
+    counted = distinct_counts(tables, wanted).select(
+        "table_name", F.col("key_columns").alias("column_name"), F.col("row_count").alias("_present"), "distinct_count"
     )
-    joined = profile.join(exact, ["table_name", "column_name"], "left")
-    return joined.withColumn("is_unique", F.coalesce("_exact", F.lit(False))).drop("_exact")
+    profile = local_rows(spark, observed, sketched.schema)
+    joined = profile.join(counted, ["table_name", "column_name"], "left")
+    # A column without any value has no repeated one.
+    unique = F.coalesce(F.col("_present") == F.col("distinct_count"), F.col("row_count") == F.col("null_count"))
+    joined = joined.withColumn("is_unique", unique).drop("_present")
+    return joined.withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0))) if exact else joined.drop("distinct_count")
 
 
 @dataclass(frozen=True)
@@ -349,9 +345,7 @@ def candidate_links(tables: Mapping[str, DataFrame], spec: Spec) -> list[Link]:
     return links
 
 
-def observed_relationships(
-    tables: Mapping[str, DataFrame], links: Sequence[Link], spec: Spec | None = None
-) -> DataFrame:
+def observed_relationships(tables: Mapping[str, DataFrame], links: Sequence[Link]) -> DataFrame:
     """What the data says about each link.
 
     ``contained`` if every child key exists in the parent; ``one-to-one`` if no child
@@ -359,8 +353,8 @@ def observed_relationships(
     """
     parts = []
     for link in links:
-        unique = is_declared_key(spec or {}, link.to_table, link.to_columns)
-        parents = parent_keys(tables[link.to_table], link.to_columns, unique)
+        # Declared keys may repeat in the data, so parents are made distinct in any case.
+        parents = parent_keys(tables[link.to_table], link.to_columns, unique=False)
         counted = (
             child_key_counts(tables[link.from_table], link.from_columns)
             .join(parents, key_match(len(link.from_columns)), "left")

@@ -17,16 +17,69 @@ from pyspark.sql import types as T
 
 # Declared type words and the Spark types that hold them.
 COLUMN_TYPES: Mapping[str, T.DataType] = {
+    "BIGINT": T.LongType(),
+    "BINARY": T.BinaryType(),
+    "BLOB": T.BinaryType(),
+    "BOOL": T.BooleanType(),
+    "BOOLEAN": T.BooleanType(),
+    "CHAR": T.StringType(),
+    "CHARACTER": T.StringType(),
+    "CLOB": T.StringType(),
     "DATE": T.DateType(),
     "DATETIME": T.TimestampNTZType(),
+    "DOUBLE": T.DoubleType(),
+    "FLOAT": T.DoubleType(),
+    "INT": T.LongType(),
     "INTEGER": T.LongType(),
+    "NCHAR": T.StringType(),
+    "NVARCHAR": T.StringType(),
     "REAL": T.DoubleType(),
+    "SMALLINT": T.LongType(),
     "TEXT": T.StringType(),
+    "TIMESTAMP": T.TimestampNTZType(),
+    "TINYINT": T.LongType(),
+    "VARCHAR": T.StringType(),
 }
+#: Decimals without digits behind the point take this many.
+_PRECISION = 18
 
-_CHECK = re.compile(r"\bCHECK\s*\((.*)\)", re.IGNORECASE)
-_DEFAULT = re.compile(r"\bDEFAULT\s+('(?:[^']|'')*'|\S+)", re.IGNORECASE)
+_DEFAULT = re.compile(r"\bDEFAULT\s+('(?:[^']|'')*'|[^\s(]+)", re.IGNORECASE)
 _REFERENCE = re.compile(r"\s*(\w+)\s*(?:\(([^)]*)\))?")
+_NUMBER = re.compile(r"[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?", re.IGNORECASE)
+
+
+@dataclass(frozen=True)
+class DefaultExpression:
+    """A default that is computed when rows are added, as SQL text."""
+
+    sql: str
+
+
+def _in_parentheses(text: str, word: str) -> tuple[str | None, str]:
+    """What stands in the parentheses behind ``word``, and ``text`` without both; quotes hide parentheses."""
+    found = re.search(rf"\b{word}\s*\(", text, re.IGNORECASE)
+    if not found:
+        return None, text
+    depth, quoted = 1, False
+    for place in range(found.end(), len(text)):
+        sign = text[place]
+        if sign == "'":
+            quoted = not quoted
+        elif not quoted:
+            depth += (sign == "(") - (sign == ")")
+            if depth == 0:
+                return text[found.end() : place].strip(), text[: found.start()] + " " + text[place + 1 :]
+    raise ValueError(f"unclosed parentheses in {text!r}")
+
+
+def _column_type(text: str) -> T.DataType | None:
+    word = re.match(r"[A-Za-z]+", text)
+    if not word:
+        return None
+    if word[0].upper() in ("DECIMAL", "NUMERIC"):
+        size = re.match(r"\s*\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\)", text[word.end() :])
+        return T.DecimalType(int(size[1]), int(size[2] or 0)) if size else T.DecimalType(_PRECISION, 0)
+    return COLUMN_TYPES.get(word[0].upper())
 
 
 @dataclass(frozen=True)
@@ -63,22 +116,27 @@ class TableDeclaration:
         return {c.name: c.default for c in self.columns if c.default is not None}
 
 
-def _literal(text: str | None) -> Any:
+def _default(text: str | None) -> Any:
+    """A Python value, or an expression for anything but a constant."""
     if text is None or text.upper() == "NULL":
         return None
     if text.startswith("'"):
         return text[1:-1].replace("''", "'")
-    return float(text) if "." in text else int(text)
+    if text.upper() in ("TRUE", "FALSE"):
+        return text.upper() == "TRUE"
+    if _NUMBER.fullmatch(text):
+        return int(text) if re.fullmatch(r"[+-]?\d+", text) else float(text)
+    return DefaultExpression(text)
 
 
 def read_column(column: Mapping[str, Any]) -> ColumnDeclaration:
     text = column["type"].strip()
-    check = _CHECK.search(text)
-    rest = _CHECK.sub(" ", text)
+    check, rest = _in_parentheses(text, "CHECK")
+    computed, rest = _in_parentheses(rest, "DEFAULT")
     default = _DEFAULT.search(rest)
     words = _DEFAULT.sub(" ", rest).upper()
-    word = re.match(r"[A-Z]+", words)
-    if not word or word[0] not in COLUMN_TYPES:
+    kind = _column_type(words)
+    if kind is None:
         raise ValueError(f"column {column['name']!r} has no known type: {text!r}")
     reference = None
     if column.get("foreign_key"):
@@ -86,12 +144,12 @@ def read_column(column: Mapping[str, Any]) -> ColumnDeclaration:
         reference = (table, [t.strip() for t in (targets or "").split(",") if t.strip()])
     return ColumnDeclaration(
         name=column["name"],
-        data_type=COLUMN_TYPES[word[0]],
+        data_type=kind,
         primary_key="PRIMARY KEY" in words,
         not_null="NOT NULL" in words,
         unique="UNIQUE" in words,
-        check=check[1].strip() if check else None,
-        default=_literal(default[1] if default else None),
+        check=check,
+        default=DefaultExpression(computed) if computed else _default(default[1] if default else None),
         reference=reference,
     )
 

@@ -6,6 +6,7 @@ Each is one lazily built DataFrame, written once; second-pass references come la
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -30,7 +31,7 @@ from tablekin.operators.synthesis import (
     self_reference_earlier,
     update_reference,
 )
-from tablekin.plans.declarations import TableDeclaration, read_tables
+from tablekin.plans.declarations import DefaultExpression, TableDeclaration, read_tables
 from tablekin.sources.lake import existing_table, inline_rows, write_table
 from tablekin.sources.local import local_rows
 from tablekin.staging import stage_table
@@ -49,6 +50,7 @@ class _Run:
     overwrite: bool
     pick_lists: Mapping[str, Sequence[str]]
     declared: dict[str, TableDeclaration]
+    existing: Mapping[str, DataFrame] = field(default_factory=dict)
     made: dict[str, DataFrame] = field(default_factory=dict)
     first_ids: dict[str, int] = field(default_factory=dict)
     pools: dict[tuple[str, str], KeyPool] = field(default_factory=dict)
@@ -61,9 +63,9 @@ class _Run:
 
     def key_column(self, rule: Rule) -> str:
         """The parent column a rule refers to, by default the parent's key."""
-        parent = self._declared_table(rule["source_table"])
         if rule.get("source_column"):
             return rule["source_column"]
+        parent = self._declared_table(rule["source_table"])
         if len(parent.primary_key) != 1:
             raise ValueError(f"a rule on table {parent.name!r} needs a source_column")
         return parent.primary_key[0]
@@ -83,8 +85,8 @@ class _Run:
         return self.pools[table, column]
 
     def _new_pool(self, table: str, column: str) -> KeyPool:
-        rows = self.made[table]
-        if column == self.declared[table].surrogate and "source_data" not in self.declared[table].populate:
+        rows, declared = self.made[table], self.declared.get(table)
+        if declared and column == declared.surrogate and "source_data" not in declared.populate:
             # Numbered without gaps by this very run, so counting is enough.
             return dense_pool(rows.count(), self.first_ids[table])
         return key_pool(rows, column)
@@ -135,7 +137,19 @@ def _add_values(
 
 def _literal_rows(run: _Run, table: TableDeclaration) -> DataFrame:
     records, first = table.populate["source_data"], run.first_ids[table.name]
-    rows = inline_rows(run.spark, records, table.schema, table.surrogate, first, table.defaults)
+    computed = {c: d for c, d in table.defaults.items() if isinstance(d, DefaultExpression)}
+    constant = {c: d for c, d in table.defaults.items() if c not in computed}
+    rows = inline_rows(run.spark, records, table.schema, table.surrogate, first, constant)
+    for name, default in computed.items():
+        # A default fills a column that a record leaves out; an explicit NULL stays.
+        given = [first + i for i, r in enumerate(records) if name in r]
+        value = _default_value(run, default).cast(table.schema[name].dataType)
+        if table.surrogate:
+            rows = rows.withColumn(name, F.when(F.col(table.surrogate).isin(given), F.col(name)).otherwise(value))
+        elif not given:
+            rows = rows.withColumn(name, value)
+        else:
+            rows = rows.withColumn(name, F.coalesce(name, value))
     return rows.coalesce(1)
 
 
@@ -189,13 +203,29 @@ _MODES = {
 }
 
 
-def _declared_columns(table: TableDeclaration, rows: DataFrame) -> DataFrame:
+def _default_value(run: _Run, default: Any) -> Column:
+    """A constant, or an expression in which the current date and time are the fill's anchor."""
+    if not isinstance(default, DefaultExpression):
+        return F.lit(default)
+    moments = {
+        "CURRENT_TIMESTAMP": f"timestamp_ntz'{run.anchor.isoformat(sep=' ')}'",
+        "CURRENT_DATE": f"date'{run.anchor.date().isoformat()}'",
+        "CURRENT_TIME": f"'{run.anchor.time().isoformat()}'",
+    }
+    # Alternating pieces outside and inside of quotes; only the former are looked at.
+    pieces = re.split(r"('(?:[^']|'')*')", default.sql)
+    for k in range(0, len(pieces), 2):
+        pieces[k] = re.sub(r"\bCURRENT_(TIMESTAMP|DATE|TIME)\b", lambda m: moments[m[0].upper()], pieces[k], flags=re.IGNORECASE)
+    return F.expr("".join(pieces))
+
+
+def _declared_columns(run: _Run, table: TableDeclaration, rows: DataFrame) -> DataFrame:
     """The declared columns with their types; omitted ones take their default."""
 
     def cell(name: str) -> Column:
         if name == table.surrogate and "_id" in rows.columns:
             return F.col("_id")
-        return F.col(name) if name in rows.columns else F.lit(table.defaults.get(name))
+        return F.col(name) if name in rows.columns else _default_value(run, table.defaults.get(name))
 
     return rows.select(*[cell(c.name).cast(c.data_type).alias(c.name) for c in table.columns])
 
@@ -206,7 +236,7 @@ def _first_pass(run: _Run, table: TableDeclaration) -> None:
     if mode is None:
         rows = local_rows(run.spark, [], table.schema)
     else:
-        rows = _declared_columns(table, _MODES[mode](run, table))
+        rows = _declared_columns(run, table, _MODES[mode](run, table))
     if "post_populate" in table.populate:
         run.made[table.name] = stage_table(rows, table.name)
         return
@@ -239,9 +269,12 @@ def fill_tables(
     seed: str | int,
     anchor: datetime,
     pick_lists: Mapping[str, Sequence[str]] | None = None,
+    existing: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Write every table of ``spec`` to ``<path>/<table>`` and return readers of them.
 
+    Rules may refer to the ``existing`` tables, by naming the column, as to those of the fill.
+
     ``seed`` and ``anchor`` ("now" of the date rules) make a fill repeatable.
     ``pick_lists`` gives the texts of rules such as names.  With ``"overwrite": false``
     rows are appended and numbering goes on.
@@ -255,6 +288,8 @@ def fill_tables(
         spec.get("overwrite", True),
         pick_lists or {},
         {t.name: t for t in tables},
+        dict(existing or {}),
+        dict(existing or {}),
     )
     for table in tables:
         _first_pass(run, table)

@@ -4,9 +4,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import shop_spec
 from tablekin.plans.constraints import constraint_report
-from tablekin.plans.declarations import constraint_spec, read_column, read_tables
+from tablekin.plans.declarations import DefaultExpression, constraint_spec, read_column, read_tables
 from tablekin.plans.filling import fill_tables
 
 ANCHOR = datetime(2024, 3, 10, 8, 0)
@@ -20,10 +19,104 @@ def fill(spark, spec, path, seed=1, lists=None):
     return fill_tables(spark, spec, str(path), seed, ANCHOR, lists)
 
 
+def gauge_spec(stations, surveys):
+    """A river gauge network that uses every fill mode."""
+
+    def made(name, columns, populate, **more):
+        listed = [{"name": n, "type": t} | ({"foreign_key": fk[0]} if fk else {}) for n, t, *fk in columns]
+        return {"name": name, "columns": listed, "populate": populate, **more}
+
+    def pick(column, table, **more):
+        return {"column": column, "faker_provider": "random_element", "source_table": table, **more}
+
+    number = "INTEGER PRIMARY KEY"
+    return {
+        "tables": [
+            made(
+                "river",
+                [("river_no", number), ("name", "TEXT UNIQUE NOT NULL"), ("mouth", "INTEGER", "river(river_no)")],
+                {
+                    "source_data": [{"name": "Aa"}, {"name": "Bode"}, {"name": "Cam"}, {"name": "Dee"}],
+                    "post_populate": [pick("mouth", "river", allow_null=0.4)],
+                },
+            ),
+            made(
+                "station",
+                [
+                    ("station_no", number),
+                    ("river_no", "INTEGER", "river"),
+                    ("upstream", "INTEGER", "station(station_no)"),
+                    ("level", "REAL CHECK(level >= 0)"),
+                ],
+                {
+                    "count": stations,
+                    "data": [
+                        pick("river_no", "river"),
+                        pick("upstream", "station", allow_null=0.25),
+                        {
+                            "column": "level",
+                            "faker_provider": "pydecimal",
+                            "args": {"left_digits": 1, "right_digits": 3, "positive": True},
+                        },
+                    ],
+                },
+            ),
+            made(
+                "keeper",
+                [("keeper_no", number), ("station_no", "INTEGER UNIQUE", "station"), ("seal", "TEXT NOT NULL")],
+                {
+                    "map_source": {"source_table": "station"},
+                    "data": [{"column": "station_no", "is_source_id": True}, {"column": "seal", "faker_provider": "sha256"}],
+                },
+            ),
+            made(
+                "reading",
+                [("reading_no", number), ("station_no", "INTEGER NOT NULL", "station(station_no)"), ("taken", "DATETIME")],
+                {
+                    "count_per_source": {"source_table": "station", "min": 2, "max": 6},
+                    "data": [
+                        {"column": "station_no", "is_source_id": True},
+                        {"column": "taken", "faker_provider": "date_time_this_month"},
+                    ],
+                },
+            ),
+            made(
+                "survey",
+                [("survey_no", number), ("station_no", "INTEGER", "station"), ("begun", "DATE")],
+                {
+                    "count": surveys,
+                    "data": [
+                        pick("station_no", "station"),
+                        {"column": "begun", "faker_provider": "date_between", "args": {"start_date": "-8w"}},
+                    ],
+                },
+            ),
+            made(
+                "visit",
+                [
+                    ("survey_no", "INTEGER", "survey(survey_no)"),
+                    ("station_no", "INTEGER", "station(station_no)"),
+                    ("grade", "INTEGER CHECK(grade BETWEEN 1 AND 3)"),
+                    ("open", "INTEGER NOT NULL DEFAULT 7"),
+                ],
+                {
+                    "count_per_source": {"source_table": "survey", "min": 0, "max": 3},
+                    "data": [
+                        {"column": "survey_no", "is_source_id": True},
+                        pick("station_no", "station"),
+                        {"column": "grade", "faker_provider": "pyint", "args": {"min_value": 1, "max_value": 3}},
+                    ],
+                },
+                primary_key=["survey_no", "station_no"],
+            ),
+        ]
+    }
+
+
 @pytest.fixture(scope="module")
-def shop(spark, tmp_path_factory):
-    spec = shop_spec(300, 700, 40)
-    return spec, fill(spark, spec, tmp_path_factory.mktemp("shop"))
+def gauges(spark, tmp_path_factory):
+    spec = gauge_spec(300, 700)
+    return spec, fill(spark, spec, tmp_path_factory.mktemp("gauges"))
 
 
 def test_column_declarations():
@@ -36,52 +129,91 @@ def test_column_declarations():
     assert read_column({"name": "k", "type": "INTEGER", "foreign_key": "p"}).reference == ("p", [])
     assert read_column({"name": "d", "type": "DATETIME"}).data_type.simpleString() == "timestamp_ntz"
     with pytest.raises(ValueError, match="no known type"):
-        read_column({"name": "b", "type": "BLOB"})
+        read_column({"name": "b", "type": "GEOMETRY"})
 
 
-def test_surrogate_and_table_keys():
-    tables = {t.name: t for t in read_tables(shop_spec(1, 1, 1))}
-    assert tables["zones"].surrogate == "id" and tables["zones"].primary_key == ["id"]
-    assert tables["purchase_lines"].surrogate is None
-    assert tables["purchase_lines"].primary_key == ["purchase_id", "article_id"]
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("VARCHAR(30) NOT NULL", "string"),
+        ("numeric(9, 2)", "decimal(9,2)"),
+        ("DECIMAL(4)", "decimal(4,0)"),
+        ("DECIMAL", "decimal(18,0)"),
+        ("boolean default true", "boolean"),
+        ("BIGINT", "bigint"),
+        ("TIMESTAMP", "timestamp_ntz"),
+        ("DOUBLE PRECISION", "double"),
+        ("BLOB", "binary"),
+    ],
+)
+def test_column_types(text, kind):
+    assert read_column({"name": "c", "type": text}).data_type.simpleString() == kind
+
+
+def test_checks_and_default_expressions():
+    c = read_column({"name": "n", "type": "INTEGER CHECK((n > 0) OR n IN (-1, -2)) DEFAULT (1 + (2 * 3)) NOT NULL"})
+    assert (c.check, c.default, c.not_null) == ("(n > 0) OR n IN (-1, -2)", DefaultExpression("1 + (2 * 3)"), True)
+    c = read_column({"name": "t", "type": "TEXT DEFAULT 'a)' CHECK(t <> '(')"})
+    assert (c.check, c.default) == ("t <> '('", "a)")
+    assert read_column({"name": "t", "type": "DATETIME DEFAULT CURRENT_TIMESTAMP"}).default == DefaultExpression("CURRENT_TIMESTAMP")
+    assert read_column({"name": "t", "type": "REAL DEFAULT -1.5e3"}).default == -1500.0
+    assert read_column({"name": "t", "type": "BOOLEAN DEFAULT false"}).default is False
+
+
+def test_defaults_are_computed_at_the_anchor(spark, tmp_path):
+    columns = {
+        "id": "INTEGER PRIMARY KEY",
+        "made": "DATETIME DEFAULT CURRENT_TIMESTAMP",
+        "day": "DATE DEFAULT (date_add(current_date, 2))",
+        "word": "TEXT DEFAULT (upper('current_date'))",
+        "ok": "BOOLEAN DEFAULT TRUE",
+    }
+    counted = table("a", columns, {"count": 2, "data": []})
+    written = table("b", columns, {"source_data": [{"word": "x"}, {"made": None}]})
+    got = fill(spark, {"tables": [counted, written]}, tmp_path)
+    day = datetime(2024, 3, 12).date()
+    assert rows(got["a"]) == [(k, ANCHOR, day, "CURRENT_DATE", True) for k in (1, 2)]
+    assert rows(got["b"]) == [(1, ANCHOR, day, "x", True), (2, None, day, "CURRENT_DATE", True)]
 
 
-def test_all_constraints_hold(spark, shop):
-    spec, tables = shop
-    report = constraint_report(tables, constraint_spec(spec)).collect()
-    assert len(report) == 29 and {r["violations"] for r in report} == {0}
+def test_surrogate_and_table_keys():
+    tables = {t.name: t for t in read_tables(gauge_spec(1, 1))}
+    assert tables["river"].surrogate == "river_no" and tables["river"].primary_key == ["river_no"]
+    assert tables["visit"].surrogate is None
+    assert tables["visit"].primary_key == ["survey_no", "station_no"]
 
 
-def test_sizes_and_numbering(shop):
-    _, tables = shop
-    assert {n: tables[n].count() for n in ("zones", "accounts", "articles", "purchases", "logins")} == {
-        "zones": 3,
-        "accounts": 300,
-        "articles": 40,
-        "purchases": 700,
-        "logins": 300,
-    }
-    balances = tables["balances"].collect()
-    assert sorted(r["id"] for r in balances) == list(range(1, len(balances) + 1))
-    per = Counter(r["account_id"] for r in balances)
-    assert set(per) == set(range(1, 301)) and set(per.values()) == {1, 2, 3, 4, 5}
-
-
-def test_values_are_their_own(shop):
-    _, tables = shop
-    lines = tables["purchase_lines"].collect()
-    assert {r["quantity"] for r in lines} == {1, 2, 3, 4, 5} and {r["returned"] for r in lines} == {0}
-    assert len({r["secret"] for r in tables["logins"].collect()}) == 300
-    zones = tables["zones"].collect()
-    assert all(z["parent_zone_id"] != z["id"] for z in zones)
-    assert [z["name"] for z in sorted(zones)] == ["north", "south", "west"]
-    sponsors = tables["accounts"].select("id", "sponsor_id").collect()
-    assert all(r["sponsor_id"] is None or r["sponsor_id"] < r["id"] for r in sponsors)
-    assert max(r["seen"] for r in tables["logins"].collect()) <= ANCHOR
-
-
-def test_a_fill_is_repeatable_and_seeded(spark, shop, tmp_path):
-    spec, first = shop
+def test_all_constraints_hold(spark, gauges):
+    spec, tables = gauges
+    report = constraint_report(tables, constraint_spec(spec)).collect()
+    assert len(report) == 22 and {r["violations"] for r in report} == {0}
+
+
+def test_sizes_and_numbering(gauges):
+    _, tables = gauges
+    sizes = {n: tables[n].count() for n in ("river", "station", "keeper", "survey")}
+    assert sizes == {"river": 4, "station": 300, "keeper": 300, "survey": 700}
+    readings = tables["reading"].collect()
+    assert sorted(r["reading_no"] for r in readings) == list(range(1, len(readings) + 1))
+    per = Counter(r["station_no"] for r in readings)
+    assert set(per) == set(range(1, 301)) and set(per.values()) == {2, 3, 4, 5, 6}
+
+
+def test_values_are_their_own(gauges):
+    _, tables = gauges
+    visits = tables["visit"].collect()
+    assert {r["grade"] for r in visits} == {1, 2, 3} and {r["open"] for r in visits} == {7}
+    assert len({r["seal"] for r in tables["keeper"].collect()}) == 300
+    rivers = tables["river"].collect()
+    assert all(r["mouth"] != r["river_no"] for r in rivers)
+    assert [r["name"] for r in sorted(rivers)] == ["Aa", "Bode", "Cam", "Dee"]
+    upstream = tables["station"].select("station_no", "upstream").collect()
+    assert all(r["upstream"] is None or r["upstream"] < r["station_no"] for r in upstream)
+    assert max(r["taken"] for r in tables["reading"].collect()) <= ANCHOR
+
+
+def test_a_fill_is_repeatable_and_seeded(spark, gauges, tmp_path):
+    spec, first = gauges
     parallel = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "3")
@@ -91,21 +223,48 @@ def test_a_fill_is_repeatable_and_seeded(spark, shop, tmp_path):
     for name in first:
         assert rows(first[name]) == rows(again[name]), name
     other = fill(spark, spec, tmp_path / "other", seed=2)
-    assert rows(other["purchases"]) != rows(first["purchases"])
+    assert rows(other["survey"]) != rows(first["survey"])
 
 
 def test_overwrite_and_append(spark, tmp_path):
-    spec = shop_spec(20, 30, 5)
+    spec = gauge_spec(20, 30)
     fill(spark, spec, tmp_path)
-    assert fill(spark, spec, tmp_path)["accounts"].count() == 20
+    assert fill(spark, spec, tmp_path)["station"].count() == 20
     more = fill(spark, {**spec, "overwrite": False}, tmp_path)
-    assert sorted(r["id"] for r in more["accounts"].collect()) == list(range(1, 41))
-    assert sorted(r["account_id"] for r in more["logins"].collect()) == list(range(1, 41))
-    new = more["purchases"].where("id > 30")
-    assert new.count() == 30 and new.where("account_id <= 20").count() == 0
+    assert sorted(r["station_no"] for r in more["station"].collect()) == list(range(1, 41))
+    assert sorted(r["station_no"] for r in more["keeper"].collect()) == list(range(1, 41))
+    new = more["survey"].where("survey_no > 30")
+    assert new.count() == 30 and new.where("station_no <= 20").count() == 0
     report = {(r[0], r[1]): r[2] for r in constraint_report(more, constraint_spec(spec)).collect()}
     broken = {k for k, v in report.items() if v}
-    assert broken == {("zones", "unique(name)")}  # the literal rows come twice
+    assert broken == {("river", "unique(name)")}  # the literal rows come twice
+
+
+def test_a_fill_refers_to_existing_tables(spark, tmp_path):
+    doors = spark.createDataFrame([(7, "x"), (9, "y"), (12, None)], "door long, colour string")
+    spec = {
+        "tables": [
+            table(
+                "bell",
+                {"id": "INTEGER PRIMARY KEY", "door": "INTEGER UNIQUE", "colour": "TEXT"},
+                {
+                    "map_source": {"source_table": "doors", "source_column": "door"},
+                    "data": [
+                        {"column": "door", "is_source_id": True},
+                        {
+                            "column": "colour",
+                            "faker_provider": "random_element",
+                            "source_table": "doors",
+                            "source_column": "colour",
+                        },
+                    ],
+                },
+            )
+        ]
+    }
+    got = fill_tables(spark, spec, str(tmp_path), 1, ANCHOR, existing={"doors": doors})["bell"].collect()
+    assert sorted(r["id"] for r in got) == [1, 2, 3] and sorted(r["door"] for r in got) == [7, 9, 12]
+    assert {r["colour"] for r in got} <= {"x", "y"}
 
 
 def table(name, columns, populate=None, **more):

@@ -3,6 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tablekin.functions.canonical import key_hash
 from tablekin.operators import changes, ordering, relational, skew
 
 
@@ -27,30 +28,90 @@ def test_inner_join_drops_null_keys(spark):
     assert rows(relational.join_dimensions(fact, (dim, "dim_id", "key"))) == [(1, 1, 1, "a")]
 
 
+def hashes(df, columns):
+    return {r[0] for r in df.select(key_hash(columns, df.schema)).collect()}
+
+
 def test_hot_keys(spark):
     df = spark.range(30000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 5 > 0 THEN id END AS k")
-    assert skew.hot_keys(df, "k") == [7]
-    assert skew.hot_keys(df.selectExpr("concat('a', k) AS k"), "k") == ["a7"]
-    assert skew.hot_keys(df.where("k < 0"), "k") == []
-    assert skew.hot_keys(df.selectExpr("array(k) AS k"), "k") == []
+    assert skew.hot_keys(df, "k").keys() == hashes(spark.range(7, 8).toDF("k"), ["k"])
+    text = df.selectExpr("concat('a', k) AS k", "array(k) AS l", "map('x', k) AS m")
+    assert skew.hot_keys(text, ["k", "l"]).keys() == hashes(text.where("k = 'a7'"), ["k", "l"])
+    assert sum(skew.hot_keys(text.where("m['x'] IS NOT NULL"), "m").values()) >= 10000
+    assert skew.hot_keys(df.where("k < 0"), "k") == {}
     many = spark.range(10000).selectExpr("id % 20 AS k")
-    assert sorted(skew.hot_keys(many, "k")) == list(range(20))
+    assert skew.hot_keys(many, "k").keys() == hashes(many, ["k"])
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-@pytest.mark.parametrize("hot_parent", [True, False])
-def test_join_children_equals_a_left_join(spark, monkeypatch, limit, hot_parent):
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
-    parent = spark.range(3000).selectExpr("IF(id % 50 = 1, NULL, id) AS id", "concat('p', id) AS name")
-    if not hot_parent:
-        parent = parent.where("id <> 7")
+@pytest.mark.parametrize("hot_bytes", [0, None])
+@pytest.mark.parametrize("parents", ["id >= 0", "id <> 7", "id < 100"])
+def test_join_children_equals_a_left_join(spark, monkeypatch, hot_bytes, parents):
+    monkeypatch.setattr(skew, "PART_BYTES", 1000)
+    parent = spark.range(3000).selectExpr("IF(id % 50 = 1, NULL, int(id)) AS id", "concat('p', id) AS name")
+    parent = parent.unionAll(parent.where("id = 7")).where(parents + " OR id IS NULL")
     child = spark.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 5 > 0 THEN id END AS parent_id", "id AS v")
-    got = skew.join_children(parent, "id", child, "parent_id")
+    got = skew.join_children(parent, "id", child, "parent_id", hot_bytes=hot_bytes)
     plain = parent.join(child, F.col("id") == F.col("parent_id"), "left")
     assert got.columns == plain.columns
     assert rows(got) == rows(plain)
 
 
+def test_a_hot_key_is_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(skew, "PART_BYTES", 10_000)
+    parent = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, n int, p string")
+    child = spark.range(0, 9000, 1, 6).selectExpr("IF(id % 9 = 0, 'b', 'a') AS k", "1 AS n", "7 AS same")
+    got = skew.join_children(parent, ["k", "n"], child, ["k", "n"], hot_bytes=0)
+    assert got.columns == ["k", "n", "p", "same"]
+    assert rows(got.groupBy("k", "n", "p", "same").count()) == [("a", 1, "x", 7, 8000), ("b", 2, "y", None, 1)]
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        per = got.where("k = 'a'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert len(per) > 3
+
+
+def company(spark):
+    """Tables that are all keyed by ``id``."""
+    return (
+        spark.createDataFrame([(1, 10, "Ann"), (2, 11, "Bo"), (3, 99, "Cy"), (4, None, "Di")], "id long, job_id long, name string"),
+        spark.createDataFrame([(10, 5, "cook"), (11, 6, "pilot")], "id long, unit_id long, name string"),
+        spark.createDataFrame([(5, "east"), (6, "west")], "id int, name string"),
+        spark.createDataFrame([(1, 71), (1, 72), (2, None), (8, 73)], "id long, skill int"),
+    )
+
+
+def test_joins_on_equal_names(spark):
+    people, jobs, units, skills = company(spark)
+    joined = relational.join_dimensions(people, (jobs, "job_id", "id", "job_"), (units, "job_unit_id", "id", "unit_"))
+    assert joined.columns == ["id", "job_id", "name", "job_unit_id", "job_name", "unit_id", "unit_name"]
+    assert rows(joined.drop("unit_id")) == [(1, 10, "Ann", 5, "cook", "east"), (2, 11, "Bo", 6, "pilot", "west")]
+    assert relational.join_dimensions(people, (skills, "id", "id")).columns == ["id", "job_id", "name", "skill"]
+    with pytest.raises(ValueError, match="name"):
+        relational.join_dimensions(people, (jobs, "job_id", "id"))
+    for hot_bytes in (None, 0):
+        left = skew.join_children(people, "id", skills, "id", hot_bytes=hot_bytes).select("id", "name", "skill")
+        assert rows(left) == [(1, "Ann", 71), (1, "Ann", 72), (2, "Bo", None), (3, "Cy", None), (4, "Di", None)]
+    assert rows(relational.count_per_parent(people.select("id"), "id", skills, "id", "skill", "n")) == [(1, 2), (2, 0), (3, 0), (4, 0)]
+
+
+def test_report_on_tables_keyed_by_id(spark):
+    people, jobs, units, skills = company(spark)
+    dimensions = [(jobs, "job_id", "id", "job_"), (units, "job_unit_id", "id", "unit_")]
+    got = relational.parent_child_report(people, "id", dimensions, skills, "id", "skill", "skills", 5, "s")
+    assert rows(got.select("name", "job_name", "unit_name", "skills")) == [("Ann", "cook", "east", 2), ("Bo", "pilot", "west", 0)]
+
+
+def test_the_last_update_of_a_key_counts(spark):
+    target = spark.createDataFrame([(1, 0), (2, 0), (None, 0)], "id long, v int")
+    updates = spark.createDataFrame([(1, 5, 1), (1, 3, 2), (1, 9, 0), (None, 7, 0)], "id long, w int, at int")
+    assert rows(changes.keyed_update(target, "id", updates, "id", {"v": "w"}, ["at"])) == [(1, 3), (2, 0), (None, 0)]
+    assert rows(changes.keyed_update(target, "id", updates, "id", {"v": "w"})) == [(1, 9), (2, 0), (None, 0)]
+
+
 def test_join_children_without_hot_keys(spark):
     parent = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id bigint, name string")
     child = spark.createDataFrame([(None, 12)], "parent_id bigint, v int")
@@ -65,7 +126,7 @@ def test_counts_ignore_nulls_and_keep_childless_parents(spark):
     assert rows(got) == [(1, 1), (2, 0), (3, 0)]
 
 
-def test_report_equals_counting_everything_first(spark, monkeypatch):
+def test_report_equals_counting_everything_first(spark):
     parent = spark.range(200).selectExpr("id", "id % 7 AS dim_id", "concat('p', id) AS name")
     dim = spark.range(5).selectExpr("id AS key", "concat('d', id) AS dim")
     child = spark.range(3000).selectExpr("IF(id % 3 = 0, 1, id % 150) AS parent_id", "IF(id % 4 = 0, NULL, id) AS v")
@@ -74,7 +135,6 @@ def test_report_equals_counting_everything_first(spark, monkeypatch):
     counted = relational.count_per_parent(joined, "id", child, "parent_id", "v", "n")
     expected = rows(relational.random_top_k(counted, "id", 20, "seed"))
     assert rows(relational.parent_child_report(*args)) == expected
-    monkeypatch.setattr(relational, "BROADCAST_ROWS", 3)
     assert rows(relational.parent_child_report(*args)) == expected
 
 

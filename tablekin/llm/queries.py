@@ -34,7 +34,8 @@ def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return license_scan.scan_licenses(read_table(spark, sf, "documents"), license_scan.known_notices(spark))
+    known = license_scan.known_notices(spark), license_scan.known_texts(spark)
+    return license_scan.scan_licenses(read_table(spark, sf, "documents"), *known)
 
 
 def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:

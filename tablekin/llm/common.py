@@ -49,16 +49,10 @@ def stage_packed(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_MULTIPLIER = 0x9E3779B97F4A7C15
-_INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-#: A-Z count as a-z.
-_VALUE = np.array([c + 33 if 65 <= c <= 90 else c + 1 for c in range(256)], dtype=np.uint64)
-_WEIGHTS = np.array([(2 * k + 1) * 0xD6E8FEB86659FD93 % (1 << 64) | 1 for k in range(1, 17)], dtype=np.uint64)
 #: Bytes that are hashed together, so that short texts share the cost of a call.
 GROUP_BYTES = 1 << 19
-_powers = _inverses = np.ones(0, dtype=np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -70,24 +64,35 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: A number per byte, A-Z as a-z.
+_VALUE = mixed(np.array([c + 33 if 65 <= c <= 90 else c + 1 for c in range(256)], dtype=np.uint64))
+_WEIGHTS = np.array([(2 * k + 1) * 0xD6E8FEB86659FD93 % (1 << 64) | 1 for k in range(1, 17)], dtype=np.uint64)
+_factors = np.ones(0, dtype=np.uint64)
+
+
 def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Starts and 64-bit hashes of the words of ``data``.
 
-    A running sum of byte x power of its place gives every word's polynomial as a
-    difference of two sums, moved to place 0 by an inverse power: no loop over words.
+    Each byte's number is multiplied by an odd factor of its place in the word; factors are
+    unrelated numbers, not powers, so no pattern of bytes cancels out.  A running sum
+    gives all words as differences: no loop over words.
     """
-    global _powers, _inverses
+    global _factors
     raw = np.frombuffer(data, dtype=np.uint8)
-    if raw.size > _powers.size:
-        size = max(raw.size, 2 * GROUP_BYTES)
-        factors = np.full((2, size), [[_MULTIPLIER], [_INVERSE]], dtype=np.uint64)
-        factors[:, 0] = 1
-        _powers, _inverses = np.cumprod(factors, axis=1)
     edges = np.flatnonzero(np.diff(~_SPACE[raw], prepend=False, append=False))
     starts, ends = edges[0::2], edges[1::2]
-    total = np.zeros(raw.size + 1, dtype=np.uint64)
-    np.cumsum(_VALUE[raw] * _powers[: raw.size], out=total[1:])
-    return starts, mixed((total[ends] - total[starts]) * _inverses[starts])
+    if not starts.size:
+        return starts, np.zeros(0, dtype=np.uint64)
+    longest = int((ends - starts).max())
+    if longest > _factors.size:
+        size = max(2 * longest, 1 << 12)
+        _factors = mixed(np.arange(size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    lengths = ends - starts
+    before = np.cumsum(lengths) - lengths
+    place = np.arange(int(lengths.sum())) - np.repeat(before, lengths)
+    letters = raw[np.repeat(starts, lengths) + place]
+    total = np.add.reduceat(_VALUE[letters] * _factors[place], before)
+    return starts, mixed(total + lengths.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def _shingles(words: np.ndarray, size: int) -> np.ndarray:

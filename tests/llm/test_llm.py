@@ -1,6 +1,7 @@
 """Edge cases and brute-force comparisons of the training-data operators on small frames."""
 
 import math
+import os
 import random
 import re
 import zlib
@@ -110,6 +111,70 @@ def test_ngram_join_equals_brute_force(spark):
     assert got == brute_components([r[:2] for r in rows])
 
 
+def test_full_license_texts(spark):
+    """Whole texts with changed case, punctuation, copyright lines and spellings."""
+    folder = "/usr/share/common-licenses"
+    if not os.path.isdir(folder):
+        pytest.skip("no licence texts on this machine")
+    changed = {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "GPL-3": "GPL-3.0", "MPL-2.0": "MPL-2.0"}
+    rows = []
+    for key, (name, _) in enumerate(sorted(changed.items())):
+        with open(os.path.join(folder, name), encoding="utf-8") as file:
+            text = file.read()
+        text = "Copyright (c) 2031 Some Body\n" + text.upper().replace(",", " ;").replace("LICENSE", "LICENCE")
+        rows += [(key, text, "en", "s"), (100 + key, text + " and more", "en", "s")]
+    known = license_scan.known_notices(spark), license_scan.known_texts(spark)
+    got = {r.doc_id: r.license_id for r in license_scan.scan_licenses(frame(spark, rows), *known).collect()}
+    assert [got[k] for k in range(4)] == [changed[n] for n in sorted(changed)]
+    assert not any(got[100 + k] for k in range(4))
+
+
+def test_licenses_of_rows_that_repeat(spark):
+    mit, apache = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
+    rows = [(1, f"{mit}\n{apache}", "en", "s"), (1, f"x\n{mit}\n{mit}", "en", "s"), (1, f"x\n{mit}\n{mit}", "en", "s")]
+    rows += [(None, "nothing here", "en", "s"), (None, f"a\n{mit}", "en", "s"), (None, None, "en", "s")]
+    got = license_scan.scan_licenses(frame(spark, rows), license_scan.known_notices(spark)).collect()
+    found = Counter((r.doc_id, r.notices, r.n_notices) for r in got)
+    assert found == Counter({(1, "Apache-2.0,MIT", 2): 1, (1, "MIT", 2): 2, (None, "MIT", 1): 1, (None, "", 0): 2})
+
+
+def test_numbers_are_no_letters(spark):
+    rows = [(k, "the house is old and the dog is young", "en", "s") for k in range(40)]
+    rows += [(40 + k, "das haus ist alt und der hund ist jung", "de", "s") for k in range(40)]
+    rows += [(100, "½", None, "s"), (101, "² ³ ①", None, "s"), (102, "ª", None, "s")]
+    docs = frame(spark, rows)
+    found = {r.doc_id: r.lang_pred for r in language_id.predict_languages(docs, language_id.fit_languages(docs)).collect()}
+    assert (found[100], found[101]) == ("und", "und") and found[102] != "und"
+
+
+def test_vectors_compare_within_their_width(spark):
+    rnd = random.Random(5)
+    rows = [(k, [rnd.gauss(0, 1) for _ in range(8)]) for k in range(100)]
+    rows += [(200, [rnd.gauss(0, 1) for _ in range(9)]), (250, [rnd.gauss(0, 1) for _ in range(3)]), (251, [1.0, 0.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = permutation_index.nearest(vectors, vectors.where("vec_id % 50 = 0")).collect()
+    per = Counter(r.query_id for r in got)
+    assert per == Counter({0: 5, 50: 5, 250: 1})
+    assert {r.vec_id for r in got if r.query_id == 250} == {251}
+
+
+def test_ngram_join_tells_long_words_apart(spark):
+    """Words whose letters follow the parity of the ones in their place's number cancel out in sums of powers."""
+    parity = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    swapped = parity.translate(str.maketrans("ab", "ba"))
+    rows = [(1, parity, "en", "s"), (2, swapped, "en", "s"), (3, parity, "en", "s")]
+    rows += [(k, f"{w} one two three four five", "en", "s") for k, w in ((4, parity), (5, swapped))]
+    got = {r.doc_id: r.component_id for r in ngram_join.similarity_classes(frame(spark, rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
+def test_ngram_join_of_rows_that_repeat(spark):
+    texts = [" ".join(f"{c}{k}" for k in range(30)) for c in "abc"]
+    rows = [(1, texts[0], "en", "s")] * 40 + [(2, texts[0] + " more", "en", "s")] * 40 + [(3, texts[1], "en", "s"), (3, texts[2], "en", "s")]
+    got = Counter((r.doc_id, r.component_id) for r in ngram_join.similarity_classes(frame(spark, rows)).collect())
+    assert got == Counter({(1, 1): 40, (2, 1): 40, (3, 3): 2})
+
+
 def test_ngram_join_edge_cases(odd, none):
     rows = ngram_join.similarity_classes(odd).collect()
     assert len(rows) == 10

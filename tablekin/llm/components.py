@@ -8,34 +8,27 @@ from pyspark.sql import functions as F
 from tablekin.staging import stage_table
 
 
-def _to_least(arcs: DataFrame, own: bool) -> DataFrame:
-    """Every neighbour v of u linked to the least of u's neighbours (and u); ``own`` links u to it as well."""
-    least = arcs.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.withColumn("m", F.least("u", "m"))
-    out = arcs.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    if own:
-        out = out.unionByName(least.select("u", F.col("m").alias("v")))
-    return out.where("u != v").distinct()
-
-
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b); component is the least node reached.
 
     Alternates large-star and small-star steps (a logarithmic number of rounds) on
-    written tables; nothing is collected and a node with many links is only summed up
-    and joined.
+    written tables of links from a larger node u to a smaller one v.  A node's least
+    neighbour is among its v, so each step sums up by u alone, in part before the shuffle.
+    Nothing is collected and a node with many links is only summed up and joined.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
     edges = stage_table(edges, "links")
     state = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        small = stage_table(_to_least(large, own=True), "links")
-        now = small.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
-        edges = small
+        # large star: u goes to the least neighbour of its v
+        least = edges.groupBy("u").agg(F.min("v").alias("m"))
+        large = edges.join(least.withColumnRenamed("u", "v"), "v", "left").select("u", F.coalesce("m", "v").alias("v"))
+        # small star: u and all its v go to the least of them
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        ends = F.explode(F.array("u", "v")).alias("u")
+        small = large.join(least, "u").select(ends, F.col("m").alias("v")).where("u != v").distinct()
+        edges = stage_table(small, "links")
+        now = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
         if now == state:
             break
         state = now

@@ -9,9 +9,13 @@ sides are known to be connected needs no test.
    one keeps this leader and its exact distance.
 3. Index.  Every class posts the prefix of its set, rarest shingles first.  The
    posts of one leader's followers for one token make a block with its range of set
-   sizes and its first position.  Two blocks of a list are skipped when no pair of
-   them can reach the overlap that sizes and positions allow.
-4. The remaining pairs of leaders are compared exactly.
+   sizes and its first position.  Two blocks of a list are skipped, before anything is
+   reported, when links with leaders connect them already or when no pair of them can
+   reach the overlap that sizes and positions allow: of the shingles that two sets
+   share the first one leaves room for all others.
+4. Of the remaining pairs of leaders those without followers pass a bound on the
+   shingles that their prefixes share, from 16 bits per shingle; then all that are
+   left are compared exactly.
 5. Answers of followers derive from those of their leaders.  Jaccard distance is a
    metric, so followers x and y of leaders a and b can link only if
    d(a, b) <= limit + d(x, a) + d(y, b).  Only for such leader pairs, and only if not
@@ -161,12 +165,16 @@ def _compare(size: int):
     return run
 
 
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of ``docs`` for at least the ``ids``, through a filter of fixed size on hashed ids."""
+def _near_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``rows`` of at least the ``ids`` (column id of both), through a filter of fixed size on hashed ids."""
     bucket = F.pmod(F.xxhash64("id"), F.lit(FILTER_BUCKETS)).cast("int")
     wanted = F.broadcast(ids.select(bucket.alias("bucket")).distinct())  # at most FILTER_BUCKETS rows
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
-    return texts.withColumn("bucket", bucket).join(wanted, "bucket", "left_semi").drop("bucket")
+    return rows.withColumn("bucket", bucket).join(wanted, "bucket", "left_semi").drop("bucket")
+
+
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of ``docs`` for at least the ``ids``."""
+    return _near_ids(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text")), ids)
 
 
 def compare_pairs(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
@@ -188,7 +196,7 @@ def _links(compared: DataFrame, percent: int) -> DataFrame:
 
 # ---- index ------------------------------------------------------------------------------
 
-BLOCKS = "token long, leader long, range long"
+BLOCKS = "token long, leader long, range long, component long"
 #: Bits of a packed range for (largest - smallest size) and for the first position; the size comes above.
 SPAN_BITS, FIRST_BITS = 20, 12
 SPAN, FIRST = (1 << SPAN_BITS) - 1, (1 << FIRST_BITS) - 1
@@ -208,7 +216,7 @@ def _unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Posts of a batch of classes, those of one leader for one token folded into a block."""
     for batch in batches:
-        leader, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        leader, n, component = (batch.column(k).to_numpy() for k in (0, 1, 3))
         lists = batch.column(2)
         lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         token = lists.flatten().to_numpy()
@@ -222,27 +230,26 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (who[1:] != who[:-1])]))
         least, most = np.minimum.reduceat(size, new), np.maximum.reduceat(size, new)
         packed = _pack(least, most, np.minimum.reduceat(position, new))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(token[new]), pa.array(who[new]), pa.array(packed)], names=["token", "leader", "range"]
-        )
+        columns = [token[new], who[new], packed, component[row][new]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "leader", "range", "component"])
 
 
 def _leader_pairs(percent: int):
-    """Pairs of leaders met in the lists: (a, b, lists, low, high, possible); rows come sorted by (token, range).
+    """Pairs (a, b) of leaders whose blocks leave room for a link; rows come sorted by (token, range).
 
-    A pair whose size ranges are too far apart is skipped, and rows that no later,
-    larger block can reach leave the memory.  ``lists`` counts the lists where the
-    pair meets, ``low`` and ``high`` bound its set sizes, and ``possible`` says that
-    some list's positions leave room for the overlap needed.
+    Blocks of one component, of sizes too far apart, or whose first positions leave less
+    than the overlap needed are skipped here, so that they cost no row.  Rows that no
+    later, larger block can reach leave the memory.  The smallest position of two linked
+    sets' first common shingle always leaves room, so every link is met in some list.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((3, 0), dtype=np.int64)
+        held = np.zeros((4, 0), dtype=np.int64)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = np.concatenate([held, np.stack([batch.column(k).to_numpy() for k in range(3)])], axis=1)
-            token, leader = rows[0], rows[1]
+            rows = np.concatenate([held, np.stack([batch.column(k).to_numpy() for k in range(4)])], axis=1)
+            token, leader, component = rows[0], rows[1], rows[3]
             least, most, first = _unpack(rows[2])
             # each new row against the rows of its list at distance 1, 2, 3, ... before it
             here, step, out = np.arange(held.shape[1], token.size), 1, []
@@ -250,44 +257,69 @@ def _leader_pairs(percent: int):
                 here = here[here >= step]
                 here = here[token[here - step] == token[here]]
                 x, y = here - step, here
-                fits = (most[x] * 100 >= least[y] * percent) & (leader[x] != leader[y])
+                fits = (most[x] * 100 >= least[y] * percent) & (component[x] != component[y])
                 x, y = x[fits], y[fits]
                 rest = np.minimum(most[x] - first[x], most[y] - first[y])
-                possible = rest * (100 + percent) >= percent * (least[x] + least[y])
-                low, high = np.minimum(leader[x], leader[y]), np.maximum(leader[x], leader[y])
-                out.append(np.stack([low, high, np.minimum(least[x], least[y]), np.maximum(most[x], most[y]), possible]))
+                room = rest * (100 + percent) >= percent * (least[x] + least[y])
+                x, y = leader[x[room]], leader[y[room]]
+                if x.size:
+                    out.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
                 step += 1
             last = (token == token[-1]) & (most * 100 >= least[-1] * percent)
             held = rows[:, last]
-            met = np.concatenate(out, axis=1) if out else np.zeros((5, 0), dtype=np.int64)
-            if met.shape[1]:
-                met = met[:, np.lexsort((met[1], met[0]))]
-                new = np.flatnonzero(np.concatenate([[True], (np.diff(met[:2], axis=1) != 0).any(axis=0)]))
-                lists = np.diff(np.append(new, met.shape[1]))
-                low, high = np.minimum.reduceat(met[2], new), np.maximum.reduceat(met[3], new)
-                columns = [met[0][new], met[1][new], lists, low, high, np.maximum.reduceat(met[4], new)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[c.split()[0] for c in MET.split(", ")])
+            if out:
+                met = np.unique(np.concatenate(out, axis=1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(met[0]), pa.array(met[1])], names=["a", "b"])
 
     return run
 
 
-MET = "a long, b long, lists long, low long, high long, possible long"
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sixteen bits of each shingle of a prefix, sorted."""
+    for batch in batches:
+        lists = batch.column(2)
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        bits = (mixed(lists.flatten().to_numpy().view(np.uint64)) >> np.uint64(48)).astype("<u2")
+        marks = [np.sort(part).tobytes() for part in np.split(bits, ends[:-1])]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(marks, pa.binary())], names=["id", "n", "marks"])
 
 
-def _candidates(blocks: DataFrame, percent: int, partitions: int) -> DataFrame:
-    """Pairs of leaders (a, b) that may link, or whose followers may.
+def _enough(percent: int):
+    """Pairs whose prefixes may share what a link needs of them; a pair without marks on a side passes.
 
     Past the prefix that ends first, two sets share at most percent hundredths of the
     larger one (what that prefix leaves over).  The rest of the overlap needed,
-    percent * (x + y) / (100 + percent), must lie in both prefixes.
+    percent * (x + y) / (100 + percent), must lie in both prefixes.  Equal marks of
+    different shingles only raise the count.
     """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x_n, x, y_n, y in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
+                if not x or not y:
+                    keep.append(True)
+                    continue
+                x, y = np.frombuffer(x, dtype="<u2"), np.frombuffer(y, dtype="<u2")
+                shared = int((y[np.minimum(np.searchsorted(y, x), y.size - 1)] == x).sum())
+                asked = (min(x_n, y_n) * 100 - max(x_n, y_n) * percent) * percent
+                keep.append(shared * 100 * (100 + percent) >= asked)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _candidates(blocks: DataFrame, sets: DataFrame, followers: DataFrame, percent: int, partitions: int) -> DataFrame:
+    """Pairs of leaders (a, b) that may link, or whose followers may."""
     blocks = blocks.repartition(partitions, "token").sortWithinPartitions("token", "range")
-    met = blocks.mapInArrow(_leader_pairs(percent), MET).groupBy("a", "b")
-    met = met.agg(
-        F.sum("lists").alias("lists"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("possible").alias("possible")
-    )
-    asked = (F.col("low") * 100 - F.col("high") * percent) * percent
-    return met.where((F.col("lists") * (100 * (100 + percent)) >= asked) & (F.col("possible") == 1)).select("a", "b")
+    met = stage_table(blocks.mapInArrow(_leader_pairs(percent), "a long, b long").distinct(), "ngram-met")
+    rows = sets.select(F.col("doc_id").alias("id"), "n", "prefix")
+    marks = _near_ids(rows, met.select(F.explode(F.array("a", "b")).alias("id"))).mapInArrow(_marks, "id long, n int, marks binary")
+    # A leader's followers may link where it does not: it has no marks and all its pairs pass.
+    marks = marks.distinct().join(followers.select(F.col("leader").alias("id")).distinct(), "id", "left_anti")
+    sides = [marks.select(F.col("id").alias(k), F.col("n").alias(f"n_{k}"), F.col("marks").alias(f"marks_{k}")) for k in ("a", "b")]
+    rows = met.join(sides[1], "b", "left").join(sides[0], "a", "left").select("a", "b", "n_a", "marks_a", "n_b", "marks_b")
+    return rows.mapInArrow(_enough(percent), "a long, b long").distinct()
 
 
 def _block_links(size: int, percent: int):
@@ -355,6 +387,14 @@ def _follower_links(docs: DataFrame, led: DataFrame, near: DataFrame, size: int,
 # ---- the join -----------------------------------------------------------------------------
 
 
+def _of_components(links: DataFrame, tied: DataFrame) -> DataFrame:
+    """``links`` (a, b) between the components of ``tied`` (node, component) that their ends lie in."""
+    for end in ("a", "b"):
+        of = tied.select(F.col("node").alias(end), F.col("component").alias("of"))
+        links = links.join(of, end, "left").withColumn(end, F.coalesce("of", end)).drop("of")
+    return links.where("a != b").select("a", "b")
+
+
 def _leaders(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links of classes with leaders, and per following class its leader and the distance to it.
 
@@ -416,13 +456,15 @@ def similarity_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     one = sets.join(equal.withColumnRenamed("cls", "doc_id"), ["doc_id", "n", "sig_a", "sig_b"])
     one = one.withColumnRenamed("doc_id", "cls")
     star, followers = _leaders(docs, one.select("cls", "bands"), size, percent)
-    led = one.select("cls", "n", "prefix").join(followers, "cls", "left")
-    led = led.withColumn("leader", F.coalesce("leader", "cls")).withColumn("away", F.coalesce("away", F.lit(0.0)))
+    tied = stage_table(connected_components(star), "ngram-tied")
+    place = tied.withColumnRenamed("node", "cls").join(followers, "cls", "left")
+    led = one.select("cls", "n", "prefix").join(place, "cls", "left")
+    led = led.withColumns({k: F.coalesce(k, "cls") for k in ("leader", "component")}).withColumn("away", F.coalesce("away", F.lit(0.0)))
 
-    blocks = led.select("leader", "n", "prefix").mapInArrow(_blocks, BLOCKS)
-    pairs = stage_table(_candidates(blocks, percent, partitions_of(docs)), "ngram-pairs")
+    blocks = led.select("leader", "n", "prefix", "component").mapInArrow(_blocks, BLOCKS)
+    pairs = stage_table(_candidates(blocks, sets, followers, percent, partitions_of(docs)), "ngram-pairs")
     compared = stage_table(compare_pairs(docs, pairs, size), "ngram-compared")
-    direct = _links(compared, percent).select("a", "b")
+    links = _of_components(_links(compared, percent).select("a", "b"), tied)
 
     # Leader pairs near enough for followers to link although the leaders do not.
     distance = 1 - F.col("shared") / F.col("both")
@@ -434,15 +476,13 @@ def similarity_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     far = F.col("reach_a") + F.col("reach_b")
     near = near.where((far > 0) & (F.col("distance") <= far + (1 - percent / 100) + 1e-9))
     near = stage_table(near.select("a", "b", "distance"), "ngram-near")
-    links = star.unionByName(direct)
     if not near.isEmpty():
-        known = connected_components(links)
-        x = known.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
-        y = known.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
-        apart = near.join(x, "a", "left").join(y, "b", "left")
-        apart = apart.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b", "distance")
-        links = links.unionByName(_follower_links(docs, led, stage_table(apart, "ngram-apart"), size, percent))
-    labels = connected_components(links)
+        found = _follower_links(docs, led, near, size, percent)
+        links = links.unionByName(_of_components(found, tied))
+    tops = connected_components(links).withColumnRenamed("component", "top")
+    labels = tied.join(tops.withColumnRenamed("node", "component"), "component", "left")
+    labels = labels.select("node", F.coalesce("top", "component").alias("component"))
+    labels = labels.unionByName(tops.join(tied, "node", "left_anti").withColumnRenamed("top", "component"))
     placed = narrow.join(equal, ["n", "sig_a", "sig_b"], "left").join(labels, F.col("cls") == F.col("node"), "left")
     return placed.select(
         "doc_id",

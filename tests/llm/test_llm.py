@@ -185,6 +185,29 @@ def test_ngram_join_edge_cases(odd, none):
     assert ngram_join.similarity_classes(none).count() == 0
 
 
+@pytest.mark.parametrize("changed", [3, 4])
+def test_ngram_join_reports_few_pairs_of_a_family(spark, monkeypatch, changed):
+    """Near copies under the limit: positions rule nearly all pairs out before they are reported."""
+    rnd = random.Random(changed)
+    counts = {}
+
+    def counted(df, label, real=ngram_join.stage_table):
+        staged = real(df, label)
+        counts[label] = staged.count()
+        return staged
+
+    monkeypatch.setattr(ngram_join, "stage_table", counted)
+    rows = []
+    for key in range(400):
+        base = [f"f{k}" for k in range(120)]
+        for place in rnd.sample(range(120), changed):
+            base[place] = f"c{key}_{place}"
+        rows.append((key, " ".join(base), "en", "s"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similarity_classes(frame(spark, rows)).collect()}
+    assert got == brute_components([r[:2] for r in rows])
+    assert counts["ngram-pairs"] <= counts["ngram-met"] <= {3: 10, 4: 0.1}[changed] * len(rows)
+
+
 def test_one_row_of_each_group_stays(spark):
     texts = {k: " ".join(f"{k}{j}" for j in range(40)) for k in "abcd"}
     near = texts["a"] + " more"

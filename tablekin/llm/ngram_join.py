@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablekin.llm.common import mixed, partitions_of, small_batches
@@ -351,15 +351,18 @@ def _block_links(size: int, percent: int):
     return run
 
 
-def _follower_links(docs: DataFrame, led: DataFrame, near: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) between classes led by the leader pairs ``near`` (a, b, distance).
+def _near_leaders(compared: DataFrame, led: DataFrame, percent: int) -> DataFrame:
+    """Leader pairs near enough for followers to link although the leaders do not.
 
-    The larger following is cut into blocks of at most about ``BLOCK_SHINGLES`` shingles;
-    the classes of the smaller one meet every block.
+    ``large`` is the side with the larger following, to be cut into ``blocks`` of about ``BLOCK_SHINGLES``.
     """
-    mass = led.groupBy("leader").agg(F.sum("n").alias("mass"))
-    sides = [mass.select(F.col("leader").alias(k), F.col("mass").alias(f"mass_{k}")) for k in ("a", "b")]
-    near = near.select("a", "b", "distance").join(sides[0], "a").join(sides[1], "b")
+    facts = led.groupBy("leader").agg(F.max("away").alias("reach"), F.sum("n").alias("mass"))
+    distance = (1 - F.col("shared") / F.col("both")).alias("distance")
+    near = compared.where(F.col("shared") * 100 < F.col("both") * percent).select("a", "b", distance)
+    for end in ("a", "b"):
+        near = near.join(facts.select(F.col("leader").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("reach", "mass")]), end)
+    far = F.col("reach_a") + F.col("reach_b")
+    near = near.where((far > 0) & (F.col("distance") <= far + (1 - percent / 100) + 1e-9))
     more = F.col("mass_a") >= F.col("mass_b")
     near = near.select(
         F.when(more, F.col("a")).otherwise(F.col("b")).alias("large"),
@@ -367,8 +370,13 @@ def _follower_links(docs: DataFrame, led: DataFrame, near: DataFrame, size: int,
         F.ceil(F.greatest("mass_a", "mass_b") / BLOCK_SHINGLES).cast("int").alias("blocks"),
         "distance",
     )
+    return stage_table(near, "ngram-near")
+
+
+def _follower_links(docs: DataFrame, led: DataFrame, near: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between classes led by the leader pairs ``near``: the classes of the smaller side meet every block."""
     ids = near.select(F.explode(F.array("large", "small")).alias("leader")).distinct()
-    own = led.select("leader", "cls", "away").join(ids, "leader", "left_semi")
+    own = stage_table(led.select("leader", "cls", "away").join(ids, "leader", "left_semi"), "ngram-own")
     own = own.join(_texts(docs, own.select(F.col("cls").alias("id"))), F.col("cls") == F.col("id")).drop("id")
     large = near.select("large", "blocks").distinct()
     x = own.join(large, F.col("leader") == F.col("large"))
@@ -381,7 +389,7 @@ def _follower_links(docs: DataFrame, led: DataFrame, near: DataFrame, size: int,
     y = y.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     y = y.select(F.col("large").alias("of_large"), F.col("block").alias("of_block"), "distance", *[F.col(c).alias(f"y_{c}") for c in ("cls", "away", "text")])
     pairs = x.groupBy("large", "block").cogroup(y.groupBy("of_large", "of_block"))
-    return pairs.applyInArrow(_block_links(size, percent), "a long, b long")
+    return stage_table(pairs.applyInArrow(_block_links(size, percent), "a long, b long"), "ngram-follower-links")
 
 
 # ---- the join -----------------------------------------------------------------------------
@@ -405,31 +413,32 @@ def _leaders(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> tu
     """
     keys = classes.select("cls", F.explode("bands").alias("key"))
     members = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    keys = stage_table(keys.join(members, "key"), "ngram-keys")
-    weight = keys.groupBy("cls").agg(F.sum("members").alias("weight"))
+    # A class has LEADER_KEYS keys, so summing over them needs no aggregate of its own.
+    weight = F.sum("members").over(Window.partitionBy("cls")).alias("weight")
+    keys = stage_table(keys.join(members, "key").select("cls", "key", weight), "ngram-keys")
     mask = F.col("key").bitwiseAND(F.lit((1 << 62) - 1))
-    led = keys.join(weight, "cls").groupBy("key").agg(
+    led = keys.groupBy("key").agg(
         F.max(F.struct("weight", (-F.col("cls")).alias("cls"))).alias("central"),
         F.min(F.col("cls").bitwiseXOR(mask)).alias("masked"),
     )
-    led = led.select("key", F.array(-F.col("central.cls"), F.col("masked").bitwiseXOR(mask)).alias("leaders"))
-    weights = {k: weight.select(F.col("cls").alias(k), F.col("weight").alias(f"{k}_weight")) for k in ("cls", "leader")}
-    met = keys.join(led, "key").select("cls", F.posexplode("leaders").alias("kind", "leader")).where("cls != leader")
-    met = met.groupBy("cls", "leader").agg(F.min("kind").alias("kind"))
+    leaders = F.array(-F.col("central.cls"), F.col("masked").bitwiseXOR(mask)).alias("leaders")
+    led = led.select("key", F.col("central.weight").alias("leader_weight"), leaders)
+    met = keys.join(led, "key").select("cls", "weight", "leader_weight", F.posexplode("leaders").alias("kind", "leader"))
+    # The least kind comes with the weight of that leader, which only a central one (kind 0) needs.
+    met = met.where("cls != leader").groupBy("cls", "leader").agg(F.min(F.struct("kind", "weight", "leader_weight")).alias("met"))
     bands = classes.select(F.col("cls").alias("leader"), F.col("bands").alias("leader_bands"))
     met = met.join(classes, "cls").join(bands, "leader")
-    met = met.where(F.size(F.array_intersect("bands", "leader_bands")) >= LEADER_AGREE).select("cls", "leader", "kind")
+    met = met.where(F.size(F.array_intersect("bands", "leader_bands")) >= LEADER_AGREE).select("cls", "leader", "met.*")
     met = stage_table(met, "ngram-proposed")
     pairs = met.select(F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b")).distinct()
     links = stage_table(_links(compare_pairs(docs, pairs, size), percent), "ngram-leaders")
     away = (1 - F.col("shared") / F.col("both")).alias("away")
     sides = F.array(F.struct(F.col("a").alias("cls"), F.col("b").alias("leader")), F.struct(F.col("b").alias("cls"), F.col("a").alias("leader")))
     followers = links.select(away, F.explode(sides).alias("side")).select("side.cls", "side.leader", "away")
-    followers = followers.join(met.where("kind = 0").select("cls", "leader"), ["cls", "leader"], "left_semi")
+    followers = followers.join(met.where("kind = 0").drop("kind"), ["cls", "leader"])
     # The more central one leads, the smaller id if both are equally central.
-    followers = followers.join(weights["cls"], "cls").join(weights["leader"], "leader")
-    leads = F.struct(F.col("leader_weight"), -F.col("leader")) > F.struct(F.col("cls_weight"), -F.col("cls"))
-    followers = followers.where(leads).select("cls", "leader", "away", "leader_weight")
+    leads = F.struct(F.col("leader_weight"), -F.col("leader")) > F.struct(F.col("weight"), -F.col("cls"))
+    followers = followers.where(leads).select("cls", "leader", "away")
     # A leader must follow nobody, or distances would not be direct.
     followers = followers.join(followers.select(F.col("cls").alias("leader")).distinct(), "leader", "left_anti")
     nearest = F.min(F.struct("away", "leader")).alias("nearest")
@@ -454,31 +463,23 @@ def similarity_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     equal = stage_table(equal.where("cls IS NOT NULL"), "ngram-equal")
     # One row per class; rows that repeat an id and a set fold here too.
     one = sets.join(equal.withColumnRenamed("cls", "doc_id"), ["doc_id", "n", "sig_a", "sig_b"])
-    one = one.withColumnRenamed("doc_id", "cls")
-    star, followers = _leaders(docs, one.select("cls", "bands"), size, percent)
+    one = stage_table(one.select(F.col("doc_id").alias("cls"), "bands"), "ngram-classes")
+    star, followers = _leaders(docs, one, size, percent)
     tied = stage_table(connected_components(star), "ngram-tied")
-    place = tied.withColumnRenamed("node", "cls").join(followers, "cls", "left")
-    led = one.select("cls", "n", "prefix").join(place, "cls", "left")
-    led = led.withColumns({k: F.coalesce(k, "cls") for k in ("leader", "component")}).withColumn("away", F.coalesce("away", F.lit(0.0)))
+    # Written without prefixes, which are joined once; each plan below stays small on the driver.
+    place = equal.join(tied.withColumnRenamed("node", "cls"), "cls", "left").join(followers, "cls", "left")
+    place = place.withColumns({k: F.coalesce(k, "cls") for k in ("leader", "component")})
+    led = stage_table(place.withColumn("away", F.coalesce("away", F.lit(0.0))), "ngram-led")
 
-    blocks = led.select("leader", "n", "prefix", "component").mapInArrow(_blocks, BLOCKS)
+    posts = sets.drop("bands").join(led.withColumnRenamed("cls", "doc_id"), ["doc_id", "n", "sig_a", "sig_b"])
+    blocks = posts.select("leader", "n", "prefix", "component").mapInArrow(_blocks, BLOCKS)
     pairs = stage_table(_candidates(blocks, sets, followers, percent, partitions_of(docs)), "ngram-pairs")
     compared = stage_table(compare_pairs(docs, pairs, size), "ngram-compared")
-    links = _of_components(_links(compared, percent).select("a", "b"), tied)
-
-    # Leader pairs near enough for followers to link although the leaders do not.
-    distance = 1 - F.col("shared") / F.col("both")
-    reach = followers.groupBy("leader").agg(F.max("away").alias("reach"))
-    near = compared.where(F.col("shared") * 100 < F.col("both") * percent).withColumn("distance", distance)
-    near = near.join(reach.select(F.col("leader").alias("a"), F.col("reach").alias("reach_a")), "a", "left")
-    near = near.join(reach.select(F.col("leader").alias("b"), F.col("reach").alias("reach_b")), "b", "left")
-    near = near.withColumns({k: F.coalesce(k, F.lit(0.0)) for k in ("reach_a", "reach_b")})
-    far = F.col("reach_a") + F.col("reach_b")
-    near = near.where((far > 0) & (F.col("distance") <= far + (1 - percent / 100) + 1e-9))
-    near = stage_table(near.select("a", "b", "distance"), "ngram-near")
+    links = _links(compared, percent).select("a", "b")
+    near = _near_leaders(compared, led, percent)
     if not near.isEmpty():
-        found = _follower_links(docs, led, near, size, percent)
-        links = links.unionByName(_of_components(found, tied))
+        links = links.unionByName(_follower_links(docs, led, near, size, percent))
+    links = _of_components(links, tied)
     tops = connected_components(links).withColumnRenamed("component", "top")
     labels = tied.join(tops.withColumnRenamed("node", "component"), "component", "left")
     labels = labels.select("node", F.coalesce("top", "component").alias("component"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tablekin.llm import (
+    components,
     decontaminate,
     hidden_markov,
     language_id,
@@ -208,6 +209,28 @@ def test_ngram_join_reports_few_pairs_of_a_family(spark, monkeypatch, changed):
     assert counts["ngram-pairs"] <= counts["ngram-met"] <= {3: 10, 4: 0.1}[changed] * len(rows)
 
 
+def test_ngram_join_plans_stay_small(spark, monkeypatch):
+    """Each written table has a short plan: the driver keeps every version of one that adaptive execution changes."""
+    exchanges = {}
+
+    def planned(df, label, real=ngram_join.stage_table):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        exchanges[label] = max(exchanges.get(label, 0), sum("Exchange" in line for line in plan.splitlines()))
+        return real(df, label)
+
+    monkeypatch.setattr(ngram_join, "stage_table", planned)
+    monkeypatch.setattr(components, "stage_table", planned)
+    rnd, rows = random.Random(7), []
+    for key in range(60):
+        base = [f"f{k}" for k in range(120)]
+        for place in rnd.sample(range(120), 2):
+            base[place] = f"c{key}_{place}"
+        rows.append((key, " ".join(base), "en", "s"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similarity_classes(frame(spark, rows)).collect()}
+    assert got == brute_components([r[:2] for r in rows])
+    assert "ngram-near" in exchanges and max(exchanges.values()) <= 16, exchanges
+
+
 def test_one_row_of_each_group_stays(spark):
     texts = {k: " ".join(f"{k}{j}" for j in range(40)) for k in "abcd"}
     near = texts["a"] + " more"

@@ -32,6 +32,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = stage_packed(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "pipeline-rows")
     groups = ngram_join.similarity_classes(rows.select(F.col("_row").alias("doc_id"), "text"))
     groups = groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("component"), (F.col("n_shingles") == 0).alias("empty"))
+    groups = stage_packed(groups, "pipeline-groups")
     digest = F.md5(F.col("text").cast("binary"))
     rest = F.xxhash64("lang", "source", "n_chars")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", digest.alias("digest"), rest.alias("rest"), "_row")

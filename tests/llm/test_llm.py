@@ -231,6 +231,15 @@ def test_ngram_join_plans_stay_small(spark, monkeypatch):
     assert "ngram-near" in exchanges and max(exchanges.values()) <= 16, exchanges
 
 
+def test_groups_are_written_before_one_row_of_each_is_chosen(spark):
+    rows = [(key, f"w{key} " * 9, "en", "s", 1) for key in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange" in line for line in plan.splitlines()) <= 6, plan
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3]
+
+
 def test_one_row_of_each_group_stays(spark):
     texts = {k: " ".join(f"{k}{j}" for j in range(40)) for k in "abcd"}
     near = texts["a"] + " more"

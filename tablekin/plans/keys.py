@@ -2,8 +2,8 @@
 
 Sets are tried level by level.  A set that holds a smaller key is never looked at, so
 only minimal keys come out.  Most sets are ruled out without being counted: first by the product of
-their members' distinct counts, then by a sketch; the rest are counted exactly, all sets of
-all tables in one exchange of fingerprints.
+their members' distinct counts, then by a sketch, then, in large tables, by a repeated value in a slice
+of the values; the rest are counted exactly, all sets of all tables in one exchange of fingerprints.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ KEY_CANDIDATES = "table_name string, key_columns string, row_count long, distinc
 NEAR_UNIQUE = 0.9
 #: Sketches that one pass over a table takes at once.
 SETS_PER_PASS = 64
+#: Tables of so many rows are first searched for repeated values in one of so many slices of the values' hashes.
+SLICED_ROWS, SLICES = 1_000_000, 64
 _MERGERS = 256
 
 
@@ -72,11 +74,12 @@ def distinct_estimates(tables: Mapping[str, DataFrame], sets: Sets) -> dict[tupl
     return {meant[r["number"]]: (r["rows"], r["missing"], r["estimate"]) for r in rows}
 
 
-def distinct_counts(tables: Mapping[str, DataFrame], sets: Sets) -> DataFrame:
+def distinct_counts(tables: Mapping[str, DataFrame], sets: Sets, slices: int = 1) -> DataFrame:
     """(table_name, key_columns, row_count, distinct_count) of complete values, exact.
 
     Every table is read once and every value moves once, as a fingerprint reduced per task.
-    A set without complete values has no row.
+    A set without complete values has no row.  With ``slices`` only values of one slice of
+    their hashes count, but all rows of these.
     """
     parts, meant = [], []
     for table, wanted in sets.items():
@@ -86,6 +89,8 @@ def distinct_counts(tables: Mapping[str, DataFrame], sets: Sets) -> DataFrame:
         entries = []
         for s in wanted:
             there = reduce(lambda a, b: a & b, [F.col(quoted_name(c)).isNotNull() for c in s])
+            if slices > 1:
+                there &= F.pmod(key_hash(s, df.schema), F.lit(slices)) == 0
             entries.append(F.struct(F.lit(len(meant)).alias("number"), F.when(there, fingerprint(s, df.schema)).alias("value")))
             meant.append((len(meant), table, ", ".join(s)))
         parts.append(df.select(F.explode(F.array(*entries)).alias("_entry")).select("_entry.*"))
@@ -99,6 +104,18 @@ def distinct_counts(tables: Mapping[str, DataFrame], sets: Sets) -> DataFrame:
     return names.join(counted, "number").select("table_name", "key_columns", "row_count", "distinct_count")
 
 
+def _repeating(tables: Mapping[str, DataFrame], sets: Sets, rows_of: Mapping[str, int]) -> Iterator[tuple[str, ColumnSet]]:
+    """The ``sets`` of large tables in which one slice of the values shows a repeated one.
+
+    Rows of equal values share a slice, so a value that repeats in it repeats in the table;
+    sets without one are left for the count of all values.
+    """
+    large = {t: wanted for t, wanted in sets.items() if rows_of[t] >= SLICED_ROWS}
+    if large:
+        for r in distinct_counts(tables, large, SLICES).where("row_count > distinct_count").collect():
+            yield r["table_name"], next(s for s in large[r["table_name"]] if ", ".join(s) == r["key_columns"])
+
+
 def _eligible(df: DataFrame) -> list[ColumnSet]:
     """Floating-point numbers measure; they do not identify."""
     return [(f.name,) for f in df.schema.fields if not isinstance(f.dataType, (T.FloatType, T.DoubleType))]
@@ -139,6 +156,9 @@ def find_keys(tables: Mapping[str, DataFrame], max_columns: int = 2) -> DataFram
                 continue
             sizes[table, columns] = estimate
             (near.setdefault(table, []) if estimate >= NEAR_UNIQUE * rows else rest[table]).append(columns)
+        for table, columns in _repeating(tables, near, rows_of):
+            near[table].remove(columns)
+            rest[table].append(columns)
         exact = distinct_counts(tables, near).collect()  # one row per set that a sketch could not rule out
         for r in exact:
             columns = tuple(next(s for s in near[r["table_name"]] if ", ".join(s) == r["key_columns"]))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tablekin.functions.permutation import base_of, permuted
 from tablekin.operators import ordering, synthesis
-from tablekin.plans import constraints, inclusion
+from tablekin.plans import constraints, inclusion, keys
 from tablekin.plans.catalog import Link, column_profile
 from tablekin.plans.inclusion import discover_links, discovered_relationships, name_evidence, words_of
 from tablekin.plans.keys import distinct_counts, find_keys
@@ -270,3 +270,21 @@ def test_one_to_one_needs_no_written_copy(spark, parent):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan and "FileScan" not in plan
     assert sorted(r[0] for r in df.select(df.columns[0]).collect()) == list(range(1, 101))
+
+
+def test_a_slice_of_the_values_rules_sets_out(spark, monkeypatch):
+    """Only sets without a repeated value in a slice are counted whole; rare repeats outside of it are still found."""
+    counted = []
+
+    def watched(tables, sets, slices=1, real=keys.distinct_counts):
+        if slices == 1:
+            counted.extend(s for wanted in sets.values() for s in wanted)
+        return real(tables, sets, slices)
+
+    monkeypatch.setattr(keys, "distinct_counts", watched)
+    monkeypatch.setattr(keys, "SLICED_ROWS", 1000)
+    most = F.when(F.col("id") % 20 == 0, F.col("id") + 1).otherwise(F.col("id"))  # one in twenty repeats
+    rare = F.when(F.col("id") == 7, 8).otherwise(F.col("id"))
+    df = spark.range(20_000).select("id", most.alias("most"), rare.alias("rare"))
+    assert [r.key_columns for r in keys.find_keys({"t": df}, max_columns=1).collect()] == ["id"]
+    assert ("most",) not in counted and ("id",) in counted

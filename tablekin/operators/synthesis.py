@@ -28,10 +28,20 @@ def generate_rows(spark: SparkSession, count: int, id_column: str = "id", first:
     A small table comes from few tasks, so it is not written as many tiny files; a large
     one uses all cores and has an upper bound on the rows of a task.
     """
+    return spark.range(first, first + count, 1, tasks_for(spark, count)).withColumnRenamed("id", id_column)
+
+
+def tasks_for(spark: SparkSession, count: int) -> int:
+    """Tasks that make ``count`` rows."""
     least, most = ROWS_PER_TASK
     tasks = min(spark.sparkContext.defaultParallelism, math.ceil(count / least))
-    tasks = max(tasks, math.ceil(count / most), 1)
-    return spark.range(first, first + count, 1, tasks).withColumnRenamed("id", id_column)
+    return max(tasks, math.ceil(count / most), 1)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Narrow ``rows`` dealt to enough tasks: a scan cuts by bytes, and keys of many rows are few bytes."""
+    tasks = tasks_for(rows.sparkSession, rows.count())
+    return rows if tasks == 1 else rows.repartition(tasks)
 
 
 @dataclass(frozen=True)

@@ -29,6 +29,7 @@ from tablekin.operators.synthesis import (
     sample_distinct_links,
     sample_foreign_key,
     self_reference_earlier,
+    spread,
     update_reference,
 )
 from tablekin.plans.declarations import DefaultExpression, TableDeclaration, read_tables
@@ -164,7 +165,7 @@ def _source_keys(run: _Run, rule: Rule) -> DataFrame:
     if rule["source_table"] not in run.made:
         raise ValueError(f"table {rule['source_table']!r} must be declared before its children")
     keys = run.made[rule["source_table"]].select(F.col(column).alias("_source"))
-    return keys.where(F.col("_source").isNotNull())
+    return spread(keys.where(F.col("_source").isNotNull()))
 
 
 def _mapped_rows(run: _Run, table: TableDeclaration) -> DataFrame:

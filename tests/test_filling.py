@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tablekin.operators import synthesis
 from tablekin.plans.constraints import constraint_report
 from tablekin.plans.declarations import DefaultExpression, constraint_spec, read_column, read_tables
 from tablekin.plans.filling import fill_tables
@@ -369,3 +370,15 @@ def test_wrong_rules(spark, tmp_path, populate, message):
     wrong = table("w", {"id": "INTEGER PRIMARY KEY", "v": "INTEGER"}, populate)
     with pytest.raises(ValueError, match=message):
         fill(spark, {"tables": [PARENT, wrong]}, tmp_path)
+
+
+def test_keys_of_one_file_are_dealt_to_several_tasks(spark, tmp_path, monkeypatch):
+    """A parent of many rows is few bytes, which one scan task reads; its children are made by more."""
+    monkeypatch.setattr(synthesis, "ROWS_PER_TASK", (100, 4000))
+    doors = spark.range(1, 1001).coalesce(1).withColumnRenamed("id", "door")
+    columns = [{"name": "bell", "type": "INTEGER PRIMARY KEY"}, {"name": "door", "type": "INTEGER", "foreign_key": "doors(door)"}]
+    populate = {"map_source": {"source_table": "doors", "source_column": "door"}, "data": [{"column": "door", "is_source_id": True}]}
+    spec = {"tables": [{"name": "bells", "columns": columns, "populate": populate}]}
+    bells = fill_tables(spark, spec, str(tmp_path), 1, ANCHOR, existing={"doors": doors})["bells"]
+    assert sorted(r.door for r in bells.collect()) == list(range(1, 1001))
+    assert bells.select(F.input_file_name()).distinct().count() > 1
